@@ -21,17 +21,20 @@ def running_total(
     order: Sequence[Column],
     values: dict[str, str],
     by: Sequence[str] = (),
+    next_of: str | None = None,
 ) -> DataFrame:
     """Add, for every ``values`` item (out -> column), the running total in
     ``order`` including the row itself as ``out`` and the total of the group as
-    ``out + "_all"``.
+    ``out + "_all"``.  With ``next_of`` (the ascending order column) the value
+    of the following row is added as ``_next``.
     """
     by = list(by)
     spread = df.repartitionByRange(*[F.col(c) for c in by], *order)
     # The range bounds come from a sample, so the slices are fixed by a
     # checkpoint before they are used by two branches of the plan.
     sliced = settle(spread.withColumn("_slice", F.spark_partition_id()))
-    totals = sliced.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_t_{o}") for o, c in values.items()])
+    first = [F.min(next_of).alias("_first")] if next_of else []
+    totals = sliced.groupBy(*by, "_slice").agg(*[F.sum(c).alias(f"_t_{o}") for o, c in values.items()], *first)
     # One row per slice and group: at most (slices + groups) rows.
     whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     before = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -40,11 +43,15 @@ def running_total(
         "_slice",
         *[F.coalesce(F.sum(f"_t_{o}").over(before), F.lit(0)).alias(f"_b_{o}") for o in values],
         *[F.sum(f"_t_{o}").over(whole).alias(f"{o}_all") for o in values],
+        *([F.lead("_first").over(whole.orderBy("_slice")).alias("_after")] if next_of else []),
     )
     inner = Window.partitionBy(*by, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     joined = sliced.join(offsets, [*by, "_slice"])
     for out, column in values.items():
         joined = joined.withColumn(out, F.sum(column).over(inner) + F.col(f"_b_{out}"))
+    if next_of:
+        following = F.lead(next_of).over(Window.partitionBy(*by, "_slice").orderBy(*order))
+        joined = joined.withColumn("_next", F.coalesce(following, F.col("_after"))).drop("_after")
     return joined.drop("_slice", *[f"_b_{o}" for o in values])
 
 

