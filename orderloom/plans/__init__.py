@@ -1,2 +1,9 @@
-from orderloom.plans import etl_queries, monitoring_queries, profile_queries, series_queries  # noqa: F401
+from orderloom.plans import (  # noqa: F401
+    etl_queries,
+    monitoring_queries,
+    profile_queries,
+    segment_queries,
+    series_queries,
+    text_queries,
+)
 from orderloom.plans.registry import QUERIES  # noqa: F401
