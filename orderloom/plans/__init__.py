@@ -1,4 +1,5 @@
 from orderloom.plans import (  # noqa: F401
+    cluster_queries,
     etl_queries,
     monitoring_queries,
     profile_queries,
