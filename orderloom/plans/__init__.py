@@ -1,6 +1,7 @@
 from orderloom.plans import (  # noqa: F401
     cluster_queries,
     etl_queries,
+    model_queries,
     monitoring_queries,
     profile_queries,
     segment_queries,
