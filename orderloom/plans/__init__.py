@@ -6,6 +6,7 @@ from orderloom.plans import (  # noqa: F401
     profile_queries,
     segment_queries,
     series_queries,
+    stream_queries,
     text_queries,
 )
 from orderloom.plans.registry import QUERIES  # noqa: F401

@@ -31,21 +31,30 @@ def build_session(name: str = "orderloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for checkpoints and stream state that every executor can reach.
 
-    Used where a plan must not be evaluated twice with different outcomes
-    (range bounds) or where an iteration would grow its lineage.  The folder is
-    the shared one named by ``spark.checkpoint.dir``; a temporary folder is
-    only acceptable for a local master.
+    It is the one named by ``spark.checkpoint.dir``; a temporary folder is only
+    acceptable for a local master.
     """
-    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    if folder is None and context.getCheckpointDir() is not None:
+        folder = context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="orderloom-checkpoint-")
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="orderloom-checkpoint-")
         context.setCheckpointDir(folder)
+    return folder
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the reliable checkpoint folder and read it back.
+
+    Used where a plan must not be evaluated twice with different outcomes
+    (range bounds) or where an iteration would grow its lineage.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
