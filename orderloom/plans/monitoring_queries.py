@@ -137,7 +137,8 @@ g AS (SELECT {keys}, MAX(na) AS na, MAX(nb) AS nb, MAX(gap) AS ks, SUM(gap * ste
    sqrt(SUM(a * v * v) / MAX(na) - (SUM(a * v) / MAX(na)) ** 2) AS sd,
    sqrt(SUM(CASE WHEN a > 0 THEN (a / na) * log2((a / na) / ((a / na + b / nb) / 2)) ELSE 0 END
       + CASE WHEN b > 0 THEN (b / nb) * log2((b / nb) / ((a / na + b / nb) / 2)) ELSE 0 END) / 2) AS js,
-   arg_max(a / na, v) AS p, arg_max(b / nb, v) AS q
+   arg_max(a / na, v) AS p, arg_max(b / nb, v) AS q,
+   SUM(CASE WHEN a > 0 THEN (b - a * nb / na) ** 2 / (a * nb / na) END) AS chi
    FROM u GROUP BY {keys}),
 l AS (SELECT *, (sqrt(na * nb / (na + nb)) + 0.12 + 0.11 / sqrt(na * nb / (na + nb))) * ks AS lam FROM g)
 """
@@ -147,13 +148,21 @@ _KS_P = """CASE WHEN lam < 0.3 THEN 1.0 ELSE least(greatest(
    list_sum(list_transform(range(1, 61), lambda k: (CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * k * k * lam * lam))), 0.0), 1.0) END"""
 
 
+# Two-sided normal tail by the series of the error function.
+_Z = "abs(p - q) / sqrt((p * na + q * nb) / (na + nb) * (1 - (p * na + q * nb) / (na + nb)) * (1 / na + 1 / nb)) / sqrt(2)"
+_Z_P = f"""(1 - 2 / sqrt(pi()) * list_sum(list_transform(range(0, 60),
+   lambda n: (CASE WHEN n % 2 = 0 THEN 1 ELSE -1 END) * ({_Z}) ** (2 * n + 1) / (gamma(n + 1) * (2 * n + 1)))))"""
+
+
 @query(
     "feature_drift",
     "WITH " + _DRIFT_SQL + _two_sample_sql("feature") + """
     SELECT feature, CASE WHEN nv <= 5 THEN 'jensenshannon' ELSE 'wasserstein' END AS test, round(ks, 6) AS ks,
       round(CASE WHEN nv <= 5 THEN js ELSE area / sd END, 6) AS score,
       CAST(CASE WHEN nv <= 5 THEN js ELSE area / sd END >= 0.1 AS INT) AS drifted FROM l WHERE na > 1000
-    UNION ALL SELECT feature, 'ks', round(ks, 6), round(""" + _KS_P + """, 6), CAST(""" + _KS_P + """ < 0.05 AS INT) FROM l WHERE na <= 1000 AND nv > 5""",
+    UNION ALL SELECT feature, 'ks', round(ks, 6), round(""" + _KS_P + """, 6), CAST(""" + _KS_P + """ < 0.05 AS INT) FROM l WHERE na <= 1000 AND nv > 5
+    UNION ALL SELECT feature, 'chisquare', round(ks, 6), round(exp(-chi / 2), 6), CAST(exp(-chi / 2) < 0.05 AS INT) FROM l WHERE na <= 1000 AND nv = 3
+    UNION ALL SELECT feature, 'z', round(ks, 6), round(""" + _Z_P + """, 6), CAST(""" + _Z_P + """ < 0.05 AS INT) FROM l WHERE na <= 1000 AND nall = 2""",
 )
 def feature_drift(spark, d):
     early, late = _drift_frames(spark, d)
