@@ -196,3 +196,10 @@ def test_segmentation_end_to_end(spark):
     assert {"cluster_id", "segment", "dbscan_label", "is_noise", "pca_1", "pca_2", "pca_3"} <= set(enriched.columns)
     assert enriched.where("segment is null").count() == 0
     assert segments.attach_labels(enriched.select("order_id", F.lit(77).alias("cluster_id")), profiles, unknown="Unknown").first().segment == "Unknown"
+
+
+def test_dense_cells_join_through_rows_that_do_not_stand_for_them(spark):
+    near = np.array([[0.05], [0.06], [0.95], [1.95], [1.94], [1.05]])
+    apart = np.array([[10.05], [10.06], [10.07], [11.95], [11.94], [11.93]])
+    rows = density.dbscan(arrays(spark, np.vstack([near, apart])), "id", "features", 1.0, 3).orderBy("id").collect()
+    assert [r.cluster for r in rows] == [0] * 6 + [1] * 3 + [2] * 3
