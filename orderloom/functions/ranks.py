@@ -67,10 +67,12 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: dict[str, float],
     by: Sequence[str] = (),
+    moments: bool = False,
 ) -> DataFrame:
     """Linear-interpolated quantiles, one row per group and column.
 
-    Output: by..., metric, n, and one double per ``probabilities`` item.
+    Output: by..., metric, n, and one double per ``probabilities`` item; with
+    ``moments`` also mean, std (sample), min and max from the same pass.
     """
     by = list(by)
     counts = melt(df, columns, by).groupBy(*by, "metric", "value").agg(F.count(F.lit(1)).alias("_n"))
@@ -82,8 +84,24 @@ def exact_quantiles(
         for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             hit = (start <= rank) & (rank < F.col("_upto"))
             picks.append(F.max(F.when(hit, F.col("value"))).alias(f"_{name}_{side}"))
+    weighted = F.col("value") * F.col("_n")
+    if moments:
+        picks += [
+            F.sum(weighted).alias("_s1"),
+            F.sum(weighted * F.col("value")).alias("_s2"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+        ]
     found = ranked.groupBy(*by, "metric").agg(*picks)
     out = []
+    if moments:
+        spread = F.greatest(F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("n"), F.lit(0.0))
+        out += [
+            (F.col("_s1") / F.col("n")).alias("mean"),
+            F.when(F.col("n") > 1, F.sqrt(spread / F.greatest(F.col("n") - 1, F.lit(1)))).alias("std"),
+            F.col("min"),
+            F.col("max"),
+        ]
     for name, p in probabilities.items():
         position = (F.col("n") - 1) * F.lit(float(p))
         low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")

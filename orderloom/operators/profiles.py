@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderloom.functions.ranks import QUARTILES, exact_quantiles, melt, running_total
@@ -18,14 +18,8 @@ def unpivot_one(row: DataFrame, names: Sequence[str], fields: Sequence[str], key
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max of each column."""
-    moments = melt(df, columns).groupBy("metric").agg(
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    quartiles = exact_quantiles(df, columns, QUARTILES)
-    return quartiles.join(moments, "metric").select("metric", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
+    table = exact_quantiles(df, columns, QUARTILES, moments=True)
+    return table.select("metric", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -192,4 +186,4 @@ def explore(
 def size_distribution(df: DataFrame, key: str) -> DataFrame:
     """Rows per group and their percent of all rows."""
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("size"))
-    return sizes.withColumn("pct", 100.0 * F.col("size") / F.sum("size").over(Window.partitionBy(F.lit(0))))
+    return sizes.withColumn("pct", 100.0 * F.col("size") / sizes.agg(F.sum("size").alias("n")).scalar())

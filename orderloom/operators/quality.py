@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderloom.functions.ranks import exact_quantiles, melt
+from orderloom.functions.ranks import exact_quantiles
 
 # Limits of the checks.
 NULL_ERROR_PCT = 50
@@ -18,14 +18,8 @@ MIN_ROWS = 7
 
 def reference_profile(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """min, max, mean, std, q01, q99 of each numeric column."""
-    moments = melt(df, columns, by).groupBy(*by, "metric").agg(
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-    )
-    tails = exact_quantiles(df, columns, {"q01": 0.01, "q99": 0.99}, by=by).drop("n")
-    return moments.join(tails, [*by, "metric"])
+    table = exact_quantiles(df, columns, {"q01": 0.01, "q99": 0.99}, by=by, moments=True)
+    return table.select(*by, "metric", "min", "max", "mean", "std", "q01", "q99")
 
 
 def _entry(check: str, column: str, severity: Column, value: Column, message: Column) -> Column:

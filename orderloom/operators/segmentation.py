@@ -30,6 +30,8 @@ def segment_orders(
 
     ``k`` overrides the choice by silhouette.
     """
+    # Every step below reads the orders again, so they are computed once.
+    orders = settle(orders)
     pipeline = (pipeline or FeaturePipeline()).fit(orders)
     vectors = settle(pipeline.vectors(orders, [key]))
     if k is None:

@@ -10,6 +10,7 @@ from orderloom.operators.features import LOGGED, NUMERIC, FeaturePipeline, reduc
 from orderloom.operators.segmentation import segment_orders
 from orderloom.plans.inputs import orders_grain, rounded
 from orderloom.plans.registry import query
+from orderloom.session import settle
 from orderloom.sources.tables import read_table
 
 
@@ -24,7 +25,7 @@ def _numeric_pipeline():
 
 
 def _order_vectors(spark, d):
-    og = orders_grain(spark, d)
+    og = settle(orders_grain(spark, d))
     return _numeric_pipeline().fit(og).vectors(og, ["order_id"])
 
 
@@ -143,7 +144,7 @@ def kmeans_labels(spark, d):
 
 @query("pca")
 def pca(spark, d):
-    og = orders_grain(spark, d)
+    og = settle(orders_grain(spark, d))
     vectors = FeaturePipeline(cyclical={"day_of_week": 7}).fit(og).vectors(og, ["order_id", "payment_name"])
     model, _ = projection.fit_pca(vectors, 3)
     return projection.project(model, vectors, ["order_id", "payment_name"], 3)
@@ -157,7 +158,7 @@ def pca_variance(spark, d):
 
 @query("feature_set_experiments")
 def feature_set_experiments(spark, d):
-    og = orders_grain(spark, d)
+    og = settle(orders_grain(spark, d))
     small = reduce_cardinality(og, "delivery_type", 50)
     plain = {"cyclical": {}, "categorical": []}
     sets = {

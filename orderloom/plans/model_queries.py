@@ -11,7 +11,7 @@ from orderloom.operators.tfidf import add_terms
 from orderloom.plans.inputs import DAILY_SQL, KEYS, daily_series, rounded
 from orderloom.plans.registry import query
 from orderloom.plans.series_queries import _W, _roll
-from orderloom.plans.text_queries import attributes
+from orderloom.plans.text_queries import ATTRIBUTES_SQL, attributes
 from orderloom.session import settle
 
 # Ten rounds instead of the library default of a hundred.
@@ -154,7 +154,12 @@ def _labelled(spark, d):
     return marked.where("is_labeled").drop("is_labeled"), marked.where("not is_labeled").drop("is_labeled")
 
 
-@query("stratified_folds")
+@query(
+    "stratified_folds",
+    "WITH " + ATTRIBUTES_SQL + """, p AS (SELECT product_type, row_number() OVER (PARTITION BY product_type ORDER BY p_partkey) AS p FROM attr
+      WHERE product_type IN (SELECT product_type FROM attr GROUP BY 1 HAVING COUNT(product_type) >= 10))
+    SELECT product_type, CAST(p % 5 AS INT) AS fold, COUNT(*) AS n FROM p GROUP BY 1, 2""",
+)
 def stratified_folds(spark, d):
     labelled, _ = _labelled(spark, d)
     folds = categorise.stratified_folds(labelled, "p_partkey", "product_type", 5)

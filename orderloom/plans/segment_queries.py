@@ -11,6 +11,7 @@ from orderloom.operators import features as ops
 from orderloom.operators import segments
 from orderloom.plans.inputs import ORDERS_SQL, orders_grain, rounded
 from orderloom.plans.registry import query
+from orderloom.session import settle
 from orderloom.sources.tables import read_table
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -80,7 +81,7 @@ FEATURE_SQL_COLUMNS = {
         f"round(({c} - AVG({c}) OVER ()) / stddev_pop({c}) OVER (), 6) + 0.0 AS {c}" for c in FEATURE_SQL_COLUMNS) + " FROM f",
 )
 def scaled_features(spark, d):
-    og = orders_grain(spark, d)
+    og = settle(orders_grain(spark, d))
     pipeline = ops.FeaturePipeline().fit(og)
     vectors = pipeline.vectors(og, ["order_id"])
     return rounded(pipeline.named(vectors, ["order_id"]))

@@ -92,6 +92,35 @@ def read_orders(
     return tidy_orders(raw, order_fields, item_fields)
 
 
+def read_orders_lenient(
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.xml",
+    order_fields: list[str] = ORDER_FIELDS,
+    item_fields: list[str] | None = ITEM_FIELDS,
+) -> tuple[DataFrame, DataFrame]:
+    """(orders of readable documents, quarantine of (source_file, document)).
+
+    A file with a malformed document gives no orders at all; its broken
+    documents go to the quarantine.
+    """
+    require_files(spark, folder, pattern)
+    schema = order_schema(order_fields, item_fields).add("_corrupt", T.StringType())
+    raw = (
+        spark.read.format("xml")
+        .options(**{**_OPTIONS, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+        .option("rowTag", "order")
+        .option("pathGlobFilter", pattern)
+        .schema(schema)
+        .load(folder)
+        .withColumn("source_file", F.col("_metadata.file_name"))
+    )
+    quarantine = raw.where("_corrupt is not null").select("source_file", F.col("_corrupt").alias("document"))
+    bad_files = quarantine.select("source_file").distinct()
+    good = raw.drop("_corrupt").join(bad_files, "source_file", "left_anti")
+    return tidy_orders(good, order_fields, item_fields), quarantine
+
+
 def require_files(spark: SparkSession, folder: str, pattern: str) -> None:
     listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
     if listing.isEmpty():

@@ -95,3 +95,10 @@ def test_casts(spark):
     assert cleaned == ["x", None, None, None]
     with pytest.raises(Exception):
         df.select(casts.strict_int(F.col("t"))).collect()
+
+
+def test_lenient_reader_sets_bad_files_aside(spark, order_folder):
+    (order_folder / "bad.xml").write_text("<orders><order><order_id>1</order_id></order><order><order_id>2</order></orders>", encoding="utf-8")
+    good, quarantine = xml.read_orders_lenient(spark, str(order_folder))
+    assert {r.source_file for r in good.collect()} == {"a.xml"} and good.count() == 4
+    assert {r.source_file for r in quarantine.collect()} == {"bad.xml"}
