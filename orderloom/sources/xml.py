@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from orderloom.session import settle
+
 # Field names of the order documents.
 ORDER_FIELDS = [
     "client_id",
@@ -115,6 +117,8 @@ def read_orders_lenient(
         .load(folder)
         .withColumn("source_file", F.col("_metadata.file_name"))
     )
+    # Parsed once for both outputs; Spark also refuses to scan for the corrupt column alone.
+    raw = settle(raw)
     quarantine = raw.where("_corrupt is not null").select("source_file", F.col("_corrupt").alias("document"))
     bad_files = quarantine.select("source_file").distinct()
     good = raw.drop("_corrupt").join(bad_files, "source_file", "left_anti")
