@@ -33,20 +33,28 @@ def daily_profile(orders: DataFrame, keys: Sequence[str], ts: str, amount: str)
     return daily.withColumn("avg_order_value", F.col("sales") / F.col("order_count"))
 
 
-def spine(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Every calendar day between the first and last day of each series."""
-    ends = daily.groupBy(*keys).agg(F.min("date").alias("_lo"), F.max("date").alias("_hi"))
-    return ends.select(*keys, F.explode(F.sequence("_lo", "_hi", F.expr("interval 1 day"))).alias("date"))
-
-
 def on_spine(daily: DataFrame, keys: Sequence[str], fill: dict[str, float] | None = None) -> DataFrame:
-    """Left join onto the spine; ``fill`` replaces nulls, otherwise they stay."""
-    joined = spine(daily, keys).join(daily, [*keys, "date"], "left")
-    return joined.fillna(fill) if fill else joined
+    """Every calendar day between the first and last day of each series.
+
+    Each observed day is followed by the empty days up to the next one, so the
+    source is read once and the result is already partitioned by series.
+    Empty days are null, or ``fill`` where given.
+    """
+    following = F.date_sub(F.lead("date").over(_by_date(keys)), 1)
+    ends = daily.withColumn("_until", F.coalesce(following, F.col("date")))
+    days = ends.withColumn("_day", F.explode(F.sequence("date", "_until", F.expr("interval 1 day"))))
+    values = [c for c in daily.columns if c not in keys and c != "date"]
+    observed = F.col("_day") == F.col("date")
+    out = days.select(*keys, F.col("_day").alias("date"), *[F.when(observed, F.col(c)).alias(c) for c in values])
+    return out.fillna(fill) if fill else out
 
 
 def missing_days(daily: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return spine(daily, keys).join(daily, [*keys, "date"], "left_anti")
+    """Days of the spine that are not observed."""
+    gaps = daily.select(*keys, "date", F.lead("date").over(_by_date(keys)).alias("_next"))
+    gaps = gaps.where(F.col("_next") > F.date_add("date", 1))
+    inside = F.sequence(F.date_add("date", 1), F.date_sub("_next", 1), F.expr("interval 1 day"))
+    return gaps.select(*keys, F.explode(inside).alias("date"))
 
 
 def missing_by_weekday(daily: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -144,7 +144,7 @@ def retrain_run(spark, d):
 SMALL_MODELS = {
     "svm": {"max_iter": 20},
     "random_forest": {"trees": 10, "depth": 10},
-    "xgboost": {"rounds": 3, "depth": 4},
+    "boosted_trees": {"rounds": 3, "depth": 4},
 }
 
 
@@ -178,7 +178,7 @@ def _categorise(model_type: str, name: str):
 
 svm_categorise = _categorise("svm", "svm_categorise")
 rf_categorise = _categorise("random_forest", "rf_categorise")
-gbt_categorise = _categorise("xgboost", "gbt_categorise")
+gbt_categorise = _categorise("boosted_trees", "gbt_categorise")
 
 
 @query("categoriser_leaderboard")
