@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from orderloom.llm import bpe
+from orderloom.llm import bpe, licenses, rules
 from orderloom.llm.common import read
 from orderloom.plans.registry import Query
 
@@ -22,3 +22,13 @@ def query(name: str, sql: str | None = None):
 @query("op1_byte_bpe")
 def op1_byte_bpe(spark, d):
     return bpe.digest(read(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query("op2_license_scan")
+def op2_license_scan(spark, d):
+    return licenses.report(read(spark, d, "documents"))
+
+
+@query("op7_quality_rules")
+def op7_quality_rules(spark, d):
+    return rules.verdicts(read(spark, d, "documents"))
