@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from orderloom.llm import bpe, licenses, rules
+from orderloom.llm import bpe, fingerprints, licenses, mixing, rules, secrets
 from orderloom.llm.common import read
 from orderloom.plans.registry import Query
 
@@ -32,3 +32,18 @@ def op2_license_scan(spark, d):
 @query("op7_quality_rules")
 def op7_quality_rules(spark, d):
     return rules.verdicts(read(spark, d, "documents"))
+
+
+@query("op5_fingerprints")
+def op5_fingerprints(spark, d):
+    return fingerprints.compare(read(spark, d, "documents"))
+
+
+@query("op6_mixing", mixing.SQL)
+def op6_mixing(spark, d):
+    return mixing.mix(read(spark, d, "documents"))
+
+
+@query("op9_secret_scan")
+def op9_secret_scan(spark, d):
+    return secrets.report(read(spark, d, "documents"))
