@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from orderloom.llm import bpe, fingerprints, licenses, mixing, rules, secrets
+from orderloom.llm import bpe, fingerprints, licenses, mixing, neardup, rules, secrets
 from orderloom.llm.common import read
 from orderloom.plans.registry import Query
 
@@ -47,3 +47,8 @@ def op6_mixing(spark, d):
 @query("op9_secret_scan")
 def op9_secret_scan(spark, d):
     return secrets.report(read(spark, d, "documents"))
+
+
+@query("op4_minhash_near_dedup")
+def op4_minhash_near_dedup(spark, d):
+    return neardup.groups(read(spark, d, "documents"), words=4)
