@@ -172,3 +172,10 @@ def groups(df: DataFrame, words: int = 5, percent: int = 80, k: int = K) -> Data
     found = rows.select("doc_id", "n", "set_key").join(nodes.select("set_key", "node"), "set_key", "left").join(labels, "node", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "node", "doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one(df: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``df`` without documents of which a near duplicate with a lower doc_id stays."""
+    gone = Workspace(df.sparkSession, "neardup").keep(groups(df, words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return df.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 
-from orderloom.llm import bpe, fingerprints, licenses, mixing, neardup, rules, secrets
+from orderloom.llm import bpe, fingerprints, licenses, mixing, neardup, pages, quality, repeats, rules, secrets
 from orderloom.llm.common import read
 from orderloom.plans.registry import Query
 
@@ -52,3 +53,22 @@ def op9_secret_scan(spark, d):
 @query("op4_minhash_near_dedup")
 def op4_minhash_near_dedup(spark, d):
     return neardup.groups(read(spark, d, "documents"), words=4)
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark, d):
+    return quality.score(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
+@query("op10_html_extraction")
+def op10_html_extraction(spark, d):
+    table = read(spark, d, "pages")
+    return pages.extract(table, pages.fit(table))
+
+
+@query("op3_repeated_passages")
+def op3_repeated_passages(spark, d):
+    return repeats.report(read(spark, d, "documents"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
