@@ -29,7 +29,8 @@ LETTER, NUMBER, OTHER, BLANK, SPACE, END = range(6)
 #: Code points one scan takes at once, unless a single text is longer.
 CHUNK = 1_000_000
 BLOCK = 256
-CACHE_ENTRIES, CACHE_CHARS = 200_000, 48
+CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
+SHORT = 64
 BREAK = 0x110000  # stands between two texts
 
 # States of the automaton: what the piece that is being read may go on with.
@@ -150,12 +151,29 @@ def piece_starts(points: np.ndarray) -> np.ndarray:
     return np.flatnonzero(begins.ravel()[state.astype(np.uint16) * begins.shape[1] + symbols])
 
 
+def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """As ``merge``; quadratic in the length, with less to do for a word."""
+    get, none = ranks.get, 1 << 62
+    cuts = list(range(len(piece) + 1))
+    pairs = [get(piece[i : i + 2], none) for i in range(len(piece) - 1)]
+    while pairs and (low := min(pairs)) < none:
+        i = pairs.index(low)
+        del cuts[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = get(piece[cuts[i] : cuts[i + 2]], none)
+        if i:
+            pairs[i - 1] = get(piece[cuts[i - 1] : cuts[i + 1]], none)
+    return [ranks[piece[a:b]] for a, b in zip(cuts, cuts[1:])]
+
+
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Join neighbours, lowest rank first and leftmost among equals, until no pair has a rank."""
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
     n = len(piece)
+    if n <= SHORT:
+        return merge_short(piece, ranks)
     following, previous = list(range(1, n + 1)), list(range(-1, n - 1))
     end = list(range(1, n + 1))  # where the part that starts here ends; 0: it has been joined to the one before it
     heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
