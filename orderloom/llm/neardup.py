@@ -128,19 +128,23 @@ def _rare_prefix_pairs(nodes: DataFrame, df: DataFrame, labels: DataFrame, words
     """Pairs (a, b) of ``nodes`` from different components that share one of their rarest shingles.
 
     With shingles ordered by how many of the nodes have them, sets alike at ``percent`` meet in the first
-    n - ceil(percent * n / 100) + 1 of both.  Shingles of one node only take their place in the count but no rows.
+    n - ceil(percent * n / 100) + 1 of both, and what follows the first one they share must be long enough on both
+    sides for the whole overlap.  Shingles of one node only take their place in the order but no rows.
     """
     sets = full_sets(df, nodes, words).dropDuplicates(["node"])
     tokens = sets.select("node", "n", F.explode("shingles").alias("s"))
     counts = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     shared = tokens.join(counts, "s").groupBy("node").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "s"))).alias("all"))  # as long as the document
-    room = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("all"))).cast("int")
-    prefix = shared.where(room > 0).select("node", F.explode(F.slice("all", F.lit(1), room)).alias("x")).select("node", F.col("x.s").alias("s"))
+    before = F.col("n") - F.size("all")
+    room = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - before).cast("int")
+    prefix = shared.where(room > 0).select("node", "n", before.alias("before"), F.posexplode(F.slice("all", F.lit(1), room)).alias("i", "x"))
+    prefix = prefix.select("node", F.col("x.s").alias("s"), "n", (F.col("n") - F.col("before") - F.col("i")).alias("rest"))
     prefix = prefix.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = prefix.groupBy("s").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("s")
     rows = prefix.join(mixed, "s", "left_semi")
-    x, y = (rows.select("s", F.col("node").alias(n), F.col("component").alias(f"c{n}")) for n in ("a", "b"))
-    return x.join(y, "s").where("ca < cb").select("a", "b").distinct()
+    x, y = (rows.select("s", F.col("node").alias(i), F.col("component").alias(f"c{i}"), F.col("n").alias(f"n{i}"), F.col("rest").alias(f"rest{i}")) for i in ("a", "b"))
+    enough = (100 + percent) * F.least("resta", "restb") >= percent * (F.col("na") + F.col("nb"))
+    return x.join(y, "s").where((F.col("ca") < F.col("cb")) & enough).select("a", "b").distinct()
 
 
 def groups(df: DataFrame, words: int = 5, percent: int = 80, k: int = K) -> DataFrame:
