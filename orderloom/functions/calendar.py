@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Polish public holidays on a fixed day as (month, day, first year).
@@ -52,23 +53,18 @@ def easter_sunday(year: Column) -> Column:
     return F.make_date(year, _div(days, 31).cast("int"), (days % 31 + 1).cast("int"))
 
 
-def holiday_table(spark: SparkSession, first_year: int = 1600, last_year: int = 2400) -> DataFrame:
-    """One row per Polish public holiday: about a dozen dates per year, so the table is small by rule."""
-    years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("_year"))
-    fixed = [
-        F.when(F.col("_year") >= first, F.make_date("_year", F.lit(month), F.lit(day))) for month, day, first in FIXED_HOLIDAYS
-    ]
-    eastern = years.withColumn("_easter", easter_sunday(F.col("_year")))
-    moving = [F.date_add("_easter", days) for days in EASTER_OFFSETS]
-    days = eastern.select(F.explode(F.array_compact(F.array(*fixed, *moving))).alias("_holiday"))
-    return days.distinct()
+def is_holiday(day: Column) -> Column:
+    """Whether a DATE is a Polish public holiday, in any year."""
+    year = F.year(day)
+    fixed = [(F.month(day) == month) & (F.dayofmonth(day) == dom) & (year >= first) for month, dom, first in FIXED_HOLIDAYS]
+    since = F.datediff(day, easter_sunday(year))
+    return reduce(lambda x, y: x | y, fixed, since.isin(EASTER_OFFSETS))
 
 
 def add_calendar(df: DataFrame, day: str = "date") -> DataFrame:
     _require(df, day)
     d = F.col(day)
-    joined = df.join(F.broadcast(holiday_table(df.sparkSession)), d == F.col("_holiday"), "left")
-    return joined.withColumns(
+    return df.withColumns(
         {
             "day_of_week": F.weekday(d),
             "day_of_month": F.dayofmonth(d),
@@ -76,9 +72,9 @@ def add_calendar(df: DataFrame, day: str = "date") -> DataFrame:
             "quarter": F.quarter(d),
             "year": F.year(d),
             "is_weekend": F.weekday(d).isin(5, 6).cast("int"),
-            "is_holiday": F.col("_holiday").isNotNull().cast("int"),
+            "is_holiday": F.coalesce(is_holiday(F.to_date(d)), F.lit(False)).cast("int"),
         }
-    ).drop("_holiday")
+    )
 
 
 def add_paydays(df: DataFrame, day: str = "date") -> DataFrame:

@@ -29,7 +29,7 @@ def safe_float(text: Column) -> Column:
 
 def safe_int(text: Column) -> Column:
     """Integer truncated toward zero, or 0 where that is impossible."""
-    return F.coalesce(try_float(text).try_cast("int"), F.lit(0))
+    return F.coalesce(try_float(text).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def strict_int(text: Column) -> Column:
@@ -86,6 +86,6 @@ def nan_to_null(value: Column) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def money_sum(amount: Column) -> Column:
-    """Exact sum of a two-decimal amount, independent of the order of rows."""
-    return F.sum(amount.cast("decimal(18,2)")).cast("double")
+def money_sum(amount: Column, scale: int = 6) -> Column:
+    """Exact sum of an amount with up to ``scale`` decimals, independent of the order of rows."""
+    return F.sum(amount.cast(f"decimal({18 + scale},{scale})")).cast("double")

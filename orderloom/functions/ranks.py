@@ -76,7 +76,11 @@ def exact_quantiles(
     """
     by = list(by)
     counts = melt(df, columns, by).groupBy(*by, "metric", "value").agg(F.count(F.lit(1)).alias("_n"))
-    ranked = running_total(counts, [F.col("value")], {"_upto": "_n"}, by=[*by, "metric"])
+    totals = {"_upto": "_n"}
+    if moments:
+        counts = counts.withColumn("_weighted", F.col("value") * F.col("_n"))
+        totals["_sum"] = "_weighted"
+    ranked = running_total(counts, [F.col("value")], totals, by=[*by, "metric"])
     start = F.col("_upto") - F.col("_n")
     picks = [F.max("_upto_all").alias("n")]
     for name, p in probabilities.items():
@@ -84,21 +88,21 @@ def exact_quantiles(
         for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             hit = (start <= rank) & (rank < F.col("_upto"))
             picks.append(F.max(F.when(hit, F.col("value"))).alias(f"_{name}_{side}"))
-    weighted = F.col("value") * F.col("_n")
     if moments:
+        # The group's total is on every row, so deviations are taken from the mean itself.
+        away = F.col("value") - F.col("_sum_all") / F.col("_upto_all")
         picks += [
-            F.sum(weighted).alias("_s1"),
-            F.sum(weighted * F.col("value")).alias("_s2"),
+            F.max(F.col("_sum_all") / F.col("_upto_all")).alias("mean"),
+            F.sum(F.col("_n") * away * away).alias("_s2"),
             F.min("value").alias("min"),
             F.max("value").alias("max"),
         ]
     found = ranked.groupBy(*by, "metric").agg(*picks)
     out = []
     if moments:
-        spread = F.greatest(F.col("_s2") - F.col("_s1") * F.col("_s1") / F.col("n"), F.lit(0.0))
         out += [
-            (F.col("_s1") / F.col("n")).alias("mean"),
-            F.when(F.col("n") > 1, F.sqrt(spread / F.greatest(F.col("n") - 1, F.lit(1)))).alias("std"),
+            F.col("mean"),
+            F.when(F.col("n") > 1, F.sqrt(F.col("_s2") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("std"),
             F.col("min"),
             F.col("max"),
         ]

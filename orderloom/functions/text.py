@@ -110,7 +110,7 @@ def match_by_join(df: DataFrame, key: str, tokens: str, lookup: DataFrame) -> Da
 
 def coverage(df: DataFrame, columns: Sequence[str] = ATTRIBUTES) -> DataFrame:
     """Percent of rows with a value, per attribute."""
-    row = df.agg(*[(100.0 * F.count(c) / F.count(F.lit(1))).alias(c) for c in columns])
+    row = df.agg(*[F.try_divide(100.0 * F.count(c), F.count(F.lit(1))).alias(c) for c in columns])
     entries = [F.struct(F.lit(c).alias("attribute"), F.col(c).alias("coverage_pct")) for c in columns]
     return row.select(F.inline(F.array(*entries)))
 

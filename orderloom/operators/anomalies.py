@@ -50,7 +50,7 @@ def flag_summary(flagged: DataFrame, flags: Sequence[str]) -> DataFrame:
         F.struct(
             F.lit(f).alias("method"),
             F.col(f).alias("n_flagged"),
-            (100.0 * F.col(f) / F.col("_n")).alias("flagged_pct"),
+            F.try_divide(100.0 * F.col(f), F.col("_n")).alias("flagged_pct"),
         )
         for f in flags
     ]

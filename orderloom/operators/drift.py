@@ -58,8 +58,8 @@ def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins:
     whole = Window.partitionBy("metric")
     shares = counts.withColumns(
         {
-            "_rp": F.col("_r") / F.sum("_r").over(whole) + PSI_EPS,
-            "_cp": F.col("_c") / F.sum("_c").over(whole) + PSI_EPS,
+            "_rp": F.coalesce(F.try_divide(F.col("_r"), F.sum("_r").over(whole)), F.lit(0.0)) + PSI_EPS,
+            "_cp": F.coalesce(F.try_divide(F.col("_c"), F.sum("_c").over(whole)), F.lit(0.0)) + PSI_EPS,
         }
     ).where("bin is not null")
     out = shares.groupBy("metric").agg(
@@ -85,12 +85,14 @@ def feature_drift(
     counts = _sides(reference, current, columns, by).groupBy(*group, "value").agg(
         F.sum("_ref").alias("_r"), F.sum(1 - F.col("_ref")).alias("_c")
     )
-    ranked = running_total(counts, [F.col("value")], {"_ru": "_r", "_cu": "_c"}, by=group, next_of="value")
+    counts = counts.withColumn("_rv", F.col("_r") * F.col("value"))
+    ranked = running_total(counts, [F.col("value")], {"_ru": "_r", "_cu": "_c", "_rs": "_rv"}, by=group, next_of="value")
     nr, nc = F.col("_ru_all"), F.col("_cu_all")
-    gap = F.abs(F.col("_ru") / nr - F.col("_cu") / nc)
-    p, q = F.col("_r") / nr, F.col("_c") / nc
+    gap = F.abs(F.try_divide(F.col("_ru"), nr) - F.try_divide(F.col("_cu"), nc))
+    p, q = F.try_divide(F.col("_r"), nr), F.try_divide(F.col("_c"), nc)
     mid = (p + q) / 2
-    expected = F.col("_r") * nc / nr
+    expected = F.try_divide(F.col("_r") * nc, nr)
+    away = F.col("value") - F.try_divide(F.col("_rs_all"), nr)
     stats = ranked.groupBy(*group).agg(
         F.max(nr).alias("n_ref"),
         F.max(nc).alias("n_cur"),
@@ -98,16 +100,14 @@ def feature_drift(
         F.count(F.lit(1)).alias("_n_all"),
         F.max(gap).alias("ks"),
         F.sum(gap * (F.col("_next") - F.col("value"))).alias("_area"),
-        F.sum(F.col("_r") * F.col("value")).alias("_s1"),
-        F.sum(F.col("_r") * F.col("value") * F.col("value")).alias("_s2"),
+        F.sum(F.col("_r") * away * away).alias("_s2"),
         F.sum(F.when(p > 0, p * F.log2(p / mid)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / mid)).otherwise(0.0)).alias("_js"),
         F.sum(F.when(expected > 0, (F.col("_c") - expected) * (F.col("_c") - expected) / expected)).alias("_chi"),
         F.count_if((F.col("_c") > 0) & (F.col("_r") == 0)).alias("_new"),
         F.max_by(p, F.col("value")).alias("_p"),
         F.max_by(q, F.col("value")).alias("_q"),
     )
-    mean = F.col("_s1") / F.col("n_ref")
-    deviation = F.sqrt(F.greatest(F.col("_s2") / F.col("n_ref") - mean * mean, F.lit(0.0)))
+    deviation = F.sqrt(F.try_divide(F.col("_s2"), F.col("n_ref")))
     small, few, two = F.col("n_ref") <= SMALL_REFERENCE, F.col("n_values") <= FEW_VALUES, F.col("_n_all") <= 2
     pooled = (F.col("_p") * F.col("n_ref") + F.col("_q") * F.col("n_cur")) / (F.col("n_ref") + F.col("n_cur"))
     noise = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n_ref") + 1 / F.col("n_cur")))

@@ -163,7 +163,7 @@ def kpis(orders: DataFrame, segment: str, noise: str, amount: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_orders"),
         F.count_distinct(segment).alias("n_segments"),
         F.count_if(F.col(noise)).alias("n_noise"),
-        (100.0 * F.count_if(F.col(noise)) / F.count(F.lit(1))).alias("noise_pct"),
+        F.try_divide(100.0 * F.count_if(F.col(noise)), F.count(F.lit(1))).alias("noise_pct"),
         F.avg(amount).alias("mean_order_value"),
     )
 

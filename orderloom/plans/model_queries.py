@@ -39,16 +39,6 @@ def additive_forecast(spark, d):
     return rounded(forecasting.additive_forecast(*_split(spark, d), KEYS))
 
 
-@query("sarima_forecast")
-def sarima_forecast(spark, d):
-    return rounded(forecasting.sarima_forecast(*_split(spark, d), KEYS))
-
-
-@query("sarima_fit")
-def sarima_fit(spark, d):
-    return rounded(forecasting.sarima_fit_table(daily_series(spark, d), KEYS))
-
-
 @query("model_cv")
 def model_cv(spark, d):
     return rounded(forecasting.run_cv(_features(spark, d), KEYS, 3, params=QUICK).drop("mape_frac"))
@@ -102,14 +92,14 @@ def batch_forecast(spark, d):
 
 @query("isolation_forest")
 def isolation_forest(spark, d):
-    flagged = isolation.detect_series_anomalies(daily_series(spark, d), KEYS, trees=50)
+    flagged = isolation.detect_series_anomalies(daily_series(spark, d), KEYS)
     return rounded(flagged.select("series", "date", "sales", "decision", "anomaly_score", "is_anomaly"))
 
 
 @query("combined_anomalies")
 def combined_anomalies(spark, d):
     """Three methods side by side: count and percent per method and for any of them."""
-    flagged = isolation.detect_series_anomalies(daily_series(spark, d), KEYS, positive_only=True, trees=50)
+    flagged = isolation.detect_series_anomalies(daily_series(spark, d), KEYS, positive_only=True)
     flagged = flagged.withColumnRenamed("is_anomaly", "anomaly_isoforest")
     flagged = anomalies.iqr_flags(anomalies.zscore_flags(flagged, KEYS), KEYS, "anomaly_iqr")
     names = ["anomaly_isoforest", "anomaly_zscore", "anomaly_iqr"]
@@ -122,10 +112,10 @@ def forecast_run(spark, d):
     series, features = daily_series(spark, d), _features(spark, d)
     cv = forecasting.run_cv(features, KEYS, 2, params=QUICK)
     best = forecasting.champion_name(cv)
-    model = forecasting.train_final(features, KEYS, params=QUICK)
-    ahead = forecasting.batch_forecast(model, features, KEYS, 14)
-    flagged = isolation.detect_series_anomalies(series, KEYS, trees=50)
-    return rounded(forecasting.forecast_chart(series, ahead, flagged, KEYS).withColumn("champion", F.lit(best)))
+    ahead = settle(forecasting.forecast_with(best, features, KEYS, 14, QUICK))
+    flagged = isolation.detect_series_anomalies(series, KEYS)
+    # The champion is the model that made the forecast rows.
+    return rounded(forecasting.forecast_chart(series, ahead, flagged, KEYS).withColumn("champion", F.lit(ahead.first().model)))
 
 
 @query("retrain_run")

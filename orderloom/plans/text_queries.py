@@ -14,10 +14,10 @@ from orderloom.sources.tables import read_table
 # Dictionaries for the words of the generated part names; two of the eight
 # nouns stay unknown so that some rows carry no label.
 DICTIONARY = AttributeDictionary(
-    colors=form_lookup("red: RED\nblue: BLUE"),
-    materials=form_lookup("worn: OLD\nfresh: NEW"),
-    product_types=form_lookup("fastener: BOLT, ROD\nwidget: WIDGET\ngear: GEAR\njewel: RING\nheavy: ANVIL"),
-    seasons=form_lookup("warm: HOT\ncold: COLD"),
+    colors=form_lookup({"red": ["RED"], "blue": ["BLUE"]}),
+    materials=form_lookup({"worn": ["OLD"], "fresh": ["NEW"]}),
+    product_types=form_lookup({"fastener": ["BOLT", "ROD"], "widget": ["WIDGET"], "gear": ["GEAR"], "jewel": ["RING"], "heavy": ["ANVIL"]}),
+    seasons=form_lookup({"warm": ["HOT"], "cold": ["COLD"]}),
     brand_prefixes={"Brand#1": "North", "Brand#2": "South", "brand#3": "Never"},
     brand_keywords={"PROMO": "House", "ECONOMY": "Basic"},
 )
@@ -145,10 +145,10 @@ def _tfidf_sql(source: str, key: str, token_list: str, max_features: int) -> str
 _PART_TOKENS = "regexp_extract_all(lower(name), '[\\p{L}\\p{N}_]{2,}')"
 
 
-@query("tfidf", "WITH " + ITEMS_SQL + "," + _tfidf_sql("names", "p_partkey", _PART_TOKENS, 120)
+@query("tfidf", "WITH " + ITEMS_SQL + "," + _tfidf_sql("names", "p_partkey", _PART_TOKENS, 500)
        + "SELECT p_partkey, term, round(weight, 6) AS weight FROM tfidf")
 def tfidf(spark, d):
-    return rounded(tfidf_ops.tfidf(item_names(spark, d), "p_partkey", "name", max_features=120))
+    return rounded(tfidf_ops.tfidf(item_names(spark, d), "p_partkey", "name", max_features=500))
 
 
 @query("tfidf_documents", "WITH " + _tfidf_sql("documents", "doc_id", "regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')", 500)
@@ -163,7 +163,7 @@ _FM_HOT = [f"{c}_{v}" for c, vs in _VALUES.items() for v in vs]
 
 @query(
     "feature_matrix_long",
-    "WITH " + ATTRIBUTES_SQL + "," + _tfidf_sql("names", "p_partkey", _PART_TOKENS, 120) + """
+    "WITH " + ATTRIBUTES_SQL + "," + _tfidf_sql("names", "p_partkey", _PART_TOKENS, 500) + """
     , st AS (SELECT p_partkey, length(name)::DOUBLE AS name_length, len(t)::DOUBLE AS name_word_count, (len(sizes) > 0)::INT::DOUBLE AS name_has_size,
        len(regexp_extract_all(name, '[A-Z]')) / length(name) AS name_uppercase_ratio, len(regexp_extract_all(name, '[0-9]'))::DOUBLE AS name_digit_count FROM tok)
     SELECT p_partkey, 'tfidf_' || term AS feature, round(weight, 6) AS value FROM tfidf """
@@ -173,7 +173,7 @@ _FM_HOT = [f"{c}_{v}" for c, vs in _VALUES.items() for v in vs]
 def feature_matrix_long(spark, d):
     rows = ops.add_text_stats(attributes(spark, d))
     encoded = features.encode_attributes(rows.select("p_partkey", "name", *_FM_DENSE, *_VALUES), list(_VALUES))
-    weights = tfidf_ops.tfidf(item_names(spark, d), "p_partkey", "name", max_features=120)
+    weights = tfidf_ops.tfidf(item_names(spark, d), "p_partkey", "name", max_features=500)
     return rounded(tfidf_ops.feature_matrix(encoded, "p_partkey", weights, _FM_DENSE, _FM_HOT))
 
 

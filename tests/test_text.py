@@ -44,7 +44,7 @@ def test_extraction(spark):
 
 
 def test_lookup_keeps_place_of_repeated_form():
-    assert list(form_lookup("a: X, Y\nb: X, Z").items()) == [("X", "b"), ("Y", "a"), ("Z", "b")]
+    assert list(form_lookup({"a": ["X", "Y"], "b": ["X", "Z"]}).items()) == [("X", "b"), ("Y", "a"), ("Z", "b")]
 
 
 def test_text_stats(spark):
