@@ -122,6 +122,7 @@ def fit(rows: DataFrame, limit: int = MAX_LABELLED) -> Model:
         return Model(None, None, np.zeros(1), np.array([share]))
     fourier = Fourier(np.array([sums[f"avg{i}"] for i in range(d)]), np.array([sums[f"stddev_pop{i}"] for i in range(d)]))
     size = FEATURES + 1
+    upper = np.triu_indices(size)
 
     def part_sums(batches):
         gram, moment, count = np.zeros((FOLDS, size, size)), np.zeros((FOLDS, size)), np.zeros(FOLDS, np.int64)
@@ -135,17 +136,21 @@ def fit(rows: DataFrame, limit: int = MAX_LABELLED) -> Model:
                     moment[f] += z[own].T @ y[at : at + 4096][own]
                     count[f] += own.sum()
         for f in range(FOLDS):
-            yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([int(count[f])], pa.int64()), pa.array([gram[f].tobytes()], pa.binary()), pa.array([moment[f].tobytes()], pa.binary())], ["fold", "n", "gram", "moment"])
+            yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([int(count[f])], pa.int64()), pa.array([gram[f][upper].tobytes()], pa.binary()), pa.array([moment[f].tobytes()], pa.binary())], ["fold", "n", "gram", "moment"])
 
     def add(key, part: pd.DataFrame) -> pd.DataFrame:  # as many rows as partitions: PARTS
         total = lambda c: np.sum([np.frombuffer(b) for b in part[c]], axis=0).tobytes()
         return pd.DataFrame({"fold": [key[0]], "n": [part["n"].sum()], "gram": [total("gram")], "moment": [total("moment")]})
 
     kind = "fold int, n long, gram binary, moment binary"
-    # Dealt by doc_id, so that the floating-point sums are the same on every run.
-    dealt = rows.repartition(PARTS, "doc_id").sortWithinPartitions("doc_id").select("x", "y", "fold")
+    # Few partitions and no shuffle of rows: each gives FOLDS matrices, of which the upper half is moved.
+    dealt = rows.select("x", "y", "fold").coalesce(PARTS)
     folds = dealt.mapInArrow(part_sums, kind).groupBy("fold").applyInPandas(add, kind).orderBy("fold").collect()
-    gram = {r.fold: np.frombuffer(r.gram).reshape(size, size) for r in folds}
+    gram = {}
+    for r in folds:
+        half = np.zeros((size, size))
+        half[upper] = np.frombuffer(r.gram)
+        gram[r.fold] = half + np.triu(half, 1).T
     moment, count = {r.fold: np.frombuffer(r.moment) for r in folds}, {r.fold: r.n for r in folds}
 
     def solve(used: list[int]) -> np.ndarray:
