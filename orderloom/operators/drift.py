@@ -70,15 +70,19 @@ def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bins:
 
 
 def feature_drift(
-    reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = ()
+    reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None, by: Sequence[str] = (), tests: str = "by_size"
 ) -> DataFrame:
     """One row per group and feature: the test chosen, its score and the verdict.
 
-    Reference of at most 1000 rows: Kolmogorov-Smirnov (more than five
-    values), chi-square (up to five) or a two-proportion z-test (two), drift
-    below p = 0.05.  Larger: Wasserstein distance over the reference deviation,
-    or Jensen-Shannon distance for few values, drift from 0.1.
+    ``tests`` "p_value": Kolmogorov-Smirnov (more than five values), chi-square
+    (up to five) or a two-proportion z-test (two), drift below p = 0.05.
+    "distance": Wasserstein distance over the reference deviation, or
+    Jensen-Shannon distance for few values, drift from 0.1.  "by_size", the
+    common library rule: p-values for a reference of at most 1000 rows, where
+    they still tell, and distances beyond.
     """
+    if tests not in ("by_size", "p_value", "distance"):
+        raise ValueError(f"unknown tests '{tests}'")
     by = list(by)
     columns = list(columns or feature_columns(reference, by))
     group = [*by, "metric"]
@@ -108,7 +112,8 @@ def feature_drift(
         F.max_by(q, F.col("value")).alias("_q"),
     )
     deviation = F.sqrt(F.try_divide(F.col("_s2"), F.col("n_ref")))
-    small, few, two = F.col("n_ref") <= SMALL_REFERENCE, F.col("n_values") <= FEW_VALUES, F.col("_n_all") <= 2
+    small = F.col("n_ref") <= SMALL_REFERENCE if tests == "by_size" else F.lit(tests == "p_value")
+    few, two = F.col("n_values") <= FEW_VALUES, F.col("_n_all") <= 2
     pooled = (F.col("_p") * F.col("n_ref") + F.col("_q") * F.col("n_cur")) / (F.col("n_ref") + F.col("n_cur"))
     noise = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n_ref") + 1 / F.col("n_cur")))
     z = F.when(noise > 0, (F.col("_p") - F.col("_q")) / noise).otherwise(F.lit(0.0))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orderloom.functions import casts
 
+# Names and order of the output columns.
 ORDER_COLUMNS = [
     "customer_id",
     "order_id",

@@ -79,9 +79,8 @@ def label_clusters(summary: DataFrame, monetary: str = MONETARY, basket: str = B
 
 def attach_labels(df: DataFrame, labels: DataFrame, cluster: str = "cluster_id", unknown: str | None = None) -> DataFrame:
     """Segment name per row; without a match null, or ``unknown`` where given."""
-    # One row per cluster.
     names = labels.select(F.col("cluster_id").alias(cluster), F.col("name").alias("segment"))
-    joined = df.join(names, cluster, "left")
+    joined = df.join(F.broadcast(names), cluster, "left")  # one row per cluster
     return joined.fillna({"segment": unknown}) if unknown else joined
 
 

@@ -15,16 +15,18 @@ _ORDER_TIME = "dd.MM.yyyy HH:mm:ss"
 
 
 def _documents(spark, d):
-    """One XML document per order line; orders without lines give an empty ``rows``."""
+    """One XML document per order with all its lines; orders without lines give an empty ``rows``."""
     orders = read_table(spark, d, "orders")
     lines = read_table(spark, d, "lineitem")
-    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
     row = F.struct(
         F.col("l_partkey").cast("string").alias("products_id"),
         F.col("l_suppkey").cast("string").alias("auction_id"),
         F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("item_price_brutto"),
         F.col("l_quantity").cast("string").alias("quantity"),
     )
+    # The lines of one order, which one document holds.
+    listed = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(row).alias("_lines"))
+    joined = orders.join(listed, "o_orderkey", "left")
     nested = joined.select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.date_format("o_orderdate", _ORDER_TIME).alias("date_add"),
@@ -32,7 +34,7 @@ def _documents(spark, d):
         F.lit("").alias("payment_status"),
         F.col("o_orderpriority").alias("delivery_type"),
         F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("order_amount_brutto"),
-        F.struct(F.when(F.col("l_orderkey").isNotNull(), F.array(row)).alias("row")).alias("rows"),
+        F.struct(F.col("_lines").alias("row")).alias("rows"),
     )
     return xml.orders_to_column(nested)
 
@@ -47,7 +49,8 @@ _XML_ITEM = ["products_id", "auction_id", "item_price_brutto", "quantity"]
     SELECT CAST(o.o_orderkey AS VARCHAR) AS order_id, substr(sha256(CAST(o.o_orderkey AS VARCHAR)), 1, 12) AS customer_id,
            CAST(o.o_orderdate AS VARCHAR) AS date_add, o.o_orderstatus AS payment_name, o.o_orderpriority AS delivery_type,
            0 AS payment_status, o.o_totalprice AS order_amount_brutto,
-           COUNT(l.l_orderkey) AS n_items, round(COALESCE(MAX(l.l_extendedprice), 0), 6) AS max_item_price,
+           COUNT(l.l_orderkey) AS n_items, round(COALESCE(AVG(l.l_extendedprice), 0) + 1e-9, 6) AS avg_item_price,
+           round(COALESCE(MAX(l.l_extendedprice), 0), 6) AS max_item_price,
            CAST(COALESCE(SUM(l.l_quantity), 0) AS BIGINT) AS total_quantity
     FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
     GROUP BY ALL
@@ -57,12 +60,9 @@ def order_xml_roundtrip(spark, d):
     raw = xml.orders_from_column(_documents(spark, d), "document", _XML_ORDER, _XML_ITEM)
     missing = {c: F.lit(None).cast("string") for c in xml.ORDER_FIELDS if c not in raw.columns}
     typed = ops.order_table(raw.withColumns(missing))
-    out = typed.groupBy(
-        "order_id", "customer_id", "date_add", "payment_name", "delivery_type", "payment_status", "order_amount_brutto"
-    ).agg(
-        F.sum("n_items").alias("n_items"),
-        F.max("max_item_price").alias("max_item_price"),
-        F.sum("total_quantity").alias("total_quantity"),
+    out = typed.select(
+        "order_id", "customer_id", "date_add", "payment_name", "delivery_type", "payment_status", "order_amount_brutto",
+        F.col("n_items").cast("long").alias("n_items"), (F.col("avg_item_price") + 1e-9).alias("avg_item_price"), "max_item_price", "total_quantity",
     )
     return rounded(out)
 
@@ -72,7 +72,7 @@ def order_xml_roundtrip(spark, d):
     """
     SELECT CAST(o.o_orderdate AS VARCHAR) AS date_add, o.o_totalprice AS order_amount_brutto,
            CAST(o.o_orderkey AS VARCHAR) AS order_id
-    FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+    FROM orders o
     """,
 )
 def slim_orders(spark, d):

@@ -113,6 +113,8 @@ def text_stats(spark, d):
 
 _VALUES = {
     "color": ["blue", "red", "unknown"],
+    "material": ["fresh", "unknown", "worn"],
+    "product_type": ["fastener", "gear", "heavy", "jewel", "unknown", "widget"],
     "season": ["cold", "unknown", "warm"],
     "brand": ["Basic", "House", "North", "South", "unknown"],
 }
