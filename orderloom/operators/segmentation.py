@@ -35,8 +35,9 @@ def segment_orders(
     pipeline = (pipeline or FeaturePipeline()).fit(orders)
     vectors = settle(pipeline.vectors(orders, [key]))
     if k is None:
-        _, k = clustering.evaluate_kmeans_range(vectors, *k_range, n_init, seed)
-    model = clustering.fit_kmeans(vectors, k, n_init, seed)
+        _, model = clustering.sweep_kmeans(vectors, *k_range, n_init, seed)
+    else:
+        model = clustering.fit_kmeans(vectors, k, n_init, seed)
     labels = model.transform(vectors).select(key, "cluster_id")
     arrays = vectors.select(key, vector_to_array("features").alias("features"))
     dense = density.dbscan(arrays, key, "features", eps, min_samples).select(

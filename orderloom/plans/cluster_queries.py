@@ -139,7 +139,7 @@ def kmeans_sweep(spark, d):
 @query("kmeans_labels")
 def kmeans_labels(spark, d):
     vectors = _order_vectors(spark, d).cache()
-    return clustering.fit_kmeans(vectors, 4, n_init=2).transform(vectors).select("order_id", "cluster_id")
+    return clustering.fit_kmeans(vectors, 4).transform(vectors).select("order_id", "cluster_id")
 
 
 @query("pca")
