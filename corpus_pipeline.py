@@ -42,10 +42,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, ids_sha256, decoded_sha256) of every document of the mixture."""
-    path = public_tokenizers.path(VOCABULARY)
-    encoded = bpe.decode(bpe.encode(docs.select("doc_id", "lang", "source", "text"), path).drop("text"), path)
-    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256)
-    return encoded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    made = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path(VOCABULARY))
+    return made.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", bpe.ids_sha256().alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

@@ -52,3 +52,12 @@ def test_digest(spark, library):
 
 def test_empty_table(spark):
     assert bpe.digest(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_one_pass_is_encode_and_decode(spark):
+    rows = [(i, t, "clash", "kept") for i, t in enumerate([*texts()[:40], None])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, IDS string, other string")
+    one = bpe.round_trip(df, PATH)
+    assert one.columns == ["doc_id", "other", "ids", "decoded"]
+    two = bpe.decode(bpe.encode(df, PATH), PATH).select(one.columns)
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
