@@ -29,6 +29,7 @@ FEATURES = 384  # random Fourier features
 FOLDS = 5
 RIDGE = 1e-3  # per row
 BINS = 2000
+STEP = 1024  # rows whose features a worker holds at once
 PARTS = 16  # partitions in which the labelled rows are summed
 LIMIT = 0.3
 
@@ -99,7 +100,8 @@ class Model:
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.fourier is None:
             return np.full(len(x), self.values[0])
-        raw = np.clip(self.fourier(x) @ self.weights, -0.5, 1.5)
+        raw = np.concatenate([self.fourier(x[at : at + STEP]) @ self.weights for at in range(0, max(1, len(x)), STEP)])
+        raw = np.clip(raw, -0.5, 1.5)
         # A little of the raw score keeps documents of one calibrated step in order.
         return np.clip(0.999 * np.interp(raw, self.knots, self.values) + 0.001 * (raw + 0.5) / 2, 0, 1)
 
@@ -128,12 +130,13 @@ def fit(rows: DataFrame, limit: int = MAX_LABELLED) -> Model:
         gram, moment, count = np.zeros((FOLDS, size, size)), np.zeros((FOLDS, size)), np.zeros(FOLDS, np.int64)
         for batch in batches:
             x, y, fold = np.array(batch.column(0).to_pylist(), float).reshape(-1, d), np.asarray(batch.column(1)), np.asarray(batch.column(2))
-            for at in range(0, len(y), 4096):
-                z = fourier(x[at : at + 4096])
+            for at in range(0, len(y), STEP):
+                z = fourier(x[at : at + STEP])
                 for f in range(FOLDS):
-                    own = fold[at : at + 4096] == f
-                    gram[f] += z[own].T @ z[own]
-                    moment[f] += z[own].T @ y[at : at + 4096][own]
+                    own = fold[at : at + STEP] == f
+                    mine = z[own]
+                    gram[f] += mine.T @ mine
+                    moment[f] += mine.T @ y[at : at + STEP][own]
                     count[f] += own.sum()
         for f in range(FOLDS):
             yield pa.RecordBatch.from_arrays([pa.array([f], pa.int32()), pa.array([int(count[f])], pa.int64()), pa.array([gram[f][upper].tobytes()], pa.binary()), pa.array([moment[f].tobytes()], pa.binary())], ["fold", "n", "gram", "moment"])
@@ -164,9 +167,10 @@ def fit(rows: DataFrame, limit: int = MAX_LABELLED) -> Model:
         x, fold = np.array(batch.column(0).to_pylist(), float).reshape(-1, d), np.asarray(batch.column(2))
         raw = np.zeros(len(x))
         for f in held:
-            own = fold == f
-            if own.any():
-                raw[own] = fourier(x[own]) @ held[f]
+            own = np.flatnonzero(fold == f)
+            for at in range(0, len(own), STEP):
+                part = own[at : at + STEP]
+                raw[part] = fourier(x[part]) @ held[f]
         bins = np.clip(((raw + 0.5) / 2 * BINS).astype(int), 0, BINS - 1)
         return pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), batch.column(1)], ["bin", "y"])
 
@@ -198,8 +202,8 @@ def keep_good(df: DataFrame, labels: DataFrame, target: str = "quality") -> Data
 
     def run(batch: pa.RecordBatch):
         at = batch.schema.names.index("text")
-        for start in range(0, len(batch), 2000):
-            part = batch.slice(start, 2000)
+        for start in range(0, len(batch), STEP):
+            part = batch.slice(start, STEP)
             x = np.array([describe(t) for t in part.column(at).to_pylist()], float).reshape(-1, len(STATISTICS))
             yield part.filter(pa.array(model.score(x) >= LIMIT))
 
