@@ -3,8 +3,8 @@
 The patterns are found whole and leftmost first; their places follow from the lengths of the matches and of what stands
 between them.  Beyond them, candidate strings of one character class are read with a sliding window: each step takes
 one character into the window's counts and one out of them, and the sum of c * log2(c) changes by these two terms only.
-A candidate counts where some window's Shannon entropy reaches the limit of its class, unless an allow-list pattern
-knows it or it overlaps a plain match.
+What plain matches cover is cut out of a candidate, and each rest of a window or more is judged by itself.  It counts
+where some window's Shannon entropy reaches the limit of its class, unless an allow-list pattern knows it.
 
 All of it is SQL functions.  Places are code points, end exclusive.  Null and empty texts have no spans; texts are read
 whole; equal rows give equal results; an empty table gives an empty table; columns named like a result are replaced.
@@ -41,13 +41,16 @@ ALPHABETS = (
     Alphabet("base64", r"^[0-9A-Za-z+/_-]+={0,2}$", 4.0),
 )
 CANDIDATE = r"[A-Za-z0-9+/_-]{24,}={0,2}"
+#: Letters between separators that are of one case, or words of three or more small letters with at most one shorter piece between two.
+_WORD, _SHORT = "[A-Z]*+[a-z]{3,}+", "(?:[A-Z]++[a-z]{0,2}+|[a-z]{1,2}+)(?![a-z])"
+_WORDS = f"(?:(?:[A-Z]?[a-z]++|[A-Z]++|(?:(?:{_SHORT})?{_WORD})++(?:{_SHORT})?)(?![A-Za-z]))"
 #: A candidate that one of these finds is no secret: identifiers, integrity hashes, samples, runs and paths of words.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^sha(256|384|512)-",
     r"(?i)example|sample|placeholder|changeme|your_|xxxx|0123456789|abcdefgh",
-    r"^[^0-9]+$",
-    r"^/?([A-Za-z]+[0-9]?[/_-]+)+[A-Za-z]*[0-9]*$",
+    rf"^[/_+-]*+{_WORDS}(?:[/_+-]++{_WORDS})*+[/_+-]*+={{0,2}}$",
+    rf"^/?(?:{_WORDS}[0-9]?[/_-]++)++(?:{_WORDS})?[0-9]*$",
 )
 
 KINDS = ("assign", "access", "hex", "entropy")
@@ -97,19 +100,50 @@ def _windowed(candidate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(candidate)), empty, step, lambda s: s["best"])
 
 
-def _secretive(candidate: Column) -> Column:
+def _secretive(candidate: Column, core: Column) -> Column:
+    """``core`` is the candidate without the separators at its cuts; it decides on the alphabet and the allow-list."""
     limit = F.lit(None).cast("double")
     for a in reversed(ALPHABETS):
-        limit = F.when(candidate.rlike(a.pattern), F.lit(a.bits)).otherwise(limit)
+        limit = F.when(core.rlike(a.pattern), F.lit(a.bits)).otherwise(limit)
     known = F.lit(False)
     for pattern in ALLOWED:
-        known = known | candidate.rlike(pattern)
+        known = known | core.rlike(pattern)
     return F.when(known, F.lit(False)).otherwise(F.coalesce(_windowed(candidate) >= limit, F.lit(False)))
 
 
+def _rests(candidates: Column, base: Column) -> Column:
+    """array<struct<start, end, match, core>>: what ``base``, in order of start, leaves of each of ``_candidates``."""
+    kind = "array<struct<start:int,end:int,match:string,core:string>>"
+
+    def cut(c: Column) -> Column:
+        def rest(start: Column, end: Column) -> Column:
+            match = F.substring(c["match"], start - c["start"] + 1, end - start)
+            core = F.when(start > c["start"], F.regexp_replace(match, "^[/_+-]+", "")).otherwise(match)
+            core = F.when(end < c["end"], F.regexp_replace(core, "[/_+-]+$", "")).otherwise(core)
+            return F.array(F.struct(start.alias("start"), end.alias("end"), match.alias("match"), core.alias("core"))).cast(kind)
+
+        def step(state: Column, b: Column) -> Column:
+            free = F.when(b["start"] - state["at"] >= WINDOW, F.concat(state["out"], rest(state["at"], b["start"]))).otherwise(state["out"])
+            return F.struct(F.greatest(state["at"], b["end"]).alias("at"), free.alias("out"))
+
+        over = F.filter(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+        first = F.struct(c["start"].alias("at"), F.array().cast(kind).alias("out"))
+        last = lambda s: F.when(c["end"] - s["at"] >= WINDOW, F.concat(s["out"], rest(s["at"], c["end"]))).otherwise(s["out"])
+        return F.aggregate(over, first, step, last)
+
+    return F.flatten(F.transform(candidates, cut))
+
+
+def _candidates(text: Column) -> Column:
+    """array<struct<start, end, match>> of all candidates."""
+    places = _spans(text, CANDIDATE, 3, lambda x: F.lit(True))
+    both = F.arrays_zip(places.alias("place"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("match"))
+    return F.transform(both, lambda x: F.struct(x["place"]["start"].alias("start"), x["place"]["end"].alias("end"), x["match"].alias("match")))
+
+
 def scan(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``found`` array<struct<start, kind, end>>, in order of start, then kind; ``kind`` counts in KINDS."""
-    df = without(df, "found", "_t", "_base", "_more")
+    df = without(df, "found", "_t", "_base", "_more", "_rests")
     keep = [F.col(f"`{c}`") for c in df.columns]
     df = df.select(*keep, whole_text(text).alias("_t"))
     t = F.col("_t")
@@ -117,9 +151,11 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
     access = F.when(t.contains("AKIA"), _spans(t, ACCESS, 1, lambda x: F.length(x["match"]) >= 16)).otherwise(_none())
     # A run of 32 or more is the whole of a leftmost match, so shorter matches need not be made first.
     hexes = F.when(t.rlike("[0-9a-f]{32}"), _spans(t, "[0-9a-f]{32,}", 2, lambda x: F.lit(True))).otherwise(_none())
-    more = F.when(t.rlike(CANDIDATE), _spans(t, CANDIDATE, 3, lambda x: _secretive(x["match"]))).otherwise(_none())
-    df = df.select("*", F.concat(assign, access, hexes).alias("_base"), more.alias("_more"))
-    alone = F.filter("_more", lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    more = F.when(t.rlike(CANDIDATE), _candidates(t)).otherwise(F.array().cast("array<struct<start:int,end:int,match:string>>"))
+    df = df.select("*", F.sort_array(F.concat(assign, access, hexes)).alias("_base"), more.alias("_more"))
+    df = df.select("*", _rests(F.col("_more"), F.col("_base")).alias("_rests"))
+    strong = F.filter("_rests", lambda r: _secretive(r["match"], r["core"]))
+    alone = F.transform(strong, lambda r: F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end"))).cast(SPAN)
     return df.select(*keep, F.sort_array(F.concat("_base", alone)).alias("found"))
 
 
