@@ -8,8 +8,9 @@ There are no labelled pages, so the labeller is trained on a bounded sample of t
 hash of url and html, of less than 200,000 characters) whose blocks a few semantic tags label, each also in variants: with other tags and class names in place
 of the semantic ones, and with further menus, notices, adverts, forms, sidebars and comments in and around the article.
 
-Scripts, styles, comments and the head have no blocks.  Character references are decoded; white space in a block becomes
-one space.  Null, empty or tagless html: no blocks give the empty text; bare text is one block.  Pages are read whole;
+Scripts, styles, comments, the head and elements with the attribute ``hidden`` have no blocks; what style or aria-hidden
+hide is left to the labeller, with a mark in its path.  Elements that are not known as blocks (math, svg, button, picture,
+custom ones) are part of the text around them.  Character references are decoded; white space in a block becomes one space.  Null, empty or tagless html: no blocks give the empty text; bare text is one block.  Pages are read whole;
 equal rows give equal results; an empty table gives an empty table; a table with no semantic tags trains on the variants'
 own parts only, and then labels every block by them.
 """
@@ -38,9 +39,10 @@ HIDDEN = 16
 EPOCHS = 14
 
 # Element names of HTML.
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+BLOCK = frozenset("html head body title address article aside blockquote caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr iframe legend li listing main marquee menu nav noframes noscript ol optgroup option p plaintext pre script search section select style summary table tbody td template textarea tfoot th thead tr ul xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template svg math iframe object head title canvas audio video".split())
+SKIPPED = frozenset("script style noscript template iframe head title".split())
+FOREIGN = frozenset("svg math".split())
 RAW = "script|style|noscript|template|iframe|textarea|title"
 CLOSED_BY_LIKE = frozenset("li dt dd tr td th option p".split())
 KEEPS_ITEMS = frozenset("ul ol dl table body div section article main aside nav form td".split())
@@ -49,8 +51,9 @@ TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?:\"[^\"]*\"|'[^']*'|[^>\"'])*>.*?(?:</(?P=raw)\s*>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attr>(?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
-NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-HIDDEN_STYLE = re.compile(r"""(?:\s|^)hidden(?=[\s/=]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+NAMES = frozenset("class id role".split())
+UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 
 
 @dataclass
@@ -78,7 +81,7 @@ def blocks(page: str | None) -> list[Block]:
     def pop(at: int):
         nonlocal hidden, links
         for element in stack[at:]:
-            hidden -= element[0] in SKIPPED or element[-1] == "?hidden"
+            hidden -= element[0] in SKIPPED or element[-1] == "?gone"
             links -= element[0] == "a"
         del stack[at:]
 
@@ -92,32 +95,40 @@ def blocks(page: str | None) -> list[Block]:
                 flush()
             continue
         tag = tag.lower()
-        if tag not in INLINE:
+        if tag in BLOCK:
             flush()
         elif tag == "br":
             parts.append(" ")
         if m["end"]:
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             # An inline end tag does not close blocks that were opened meanwhile.
-            if at is not None and (tag not in INLINE or all(e[0] in INLINE for e in stack[at:])):
+            if at is not None and (tag in BLOCK or all(e[0] not in BLOCK for e in stack[at:])):
                 pop(at)
             continue
         if tag in VOID:
             continue
-        if tag not in INLINE:
+        if tag in BLOCK:
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
-            if at is not None and tag not in ("rp", "rt"):
+            if at is not None:
                 pop(at)  # a paragraph holds no blocks
         if tag in CLOSED_BY_LIKE:
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag or stack[i][0] in KEEPS_ITEMS), None)
             if at is not None and stack[at][0] == tag:
                 pop(at)
         attributes = m["attr"] or ""
-        if attributes.rstrip().endswith("/") and tag in ("path", "use", "circle", "rect"):
+        if attributes.rstrip().endswith("/") and (tag in FOREIGN or any(e[0] in FOREIGN for e in stack)):
             continue
-        names = [w for a in NAMED.finditer(attributes) for w in re.findall(r"[a-z]+", (a[2] or a[3] or a[4] or "").lower())]
-        element = (tag, *names, *(["?hidden"] if HIDDEN_STYLE.search(attributes) else []))
-        hidden += tag in SKIPPED or element[-1] == "?hidden"
+        names, mark = [], []
+        for name, *values in ATTRIBUTE.findall(attributes):
+            name, value = name.lower(), values[0] or values[1] or values[2]
+            if name in NAMES:
+                names += re.findall(r"[a-z]+", value.lower())
+            elif name == "hidden" and value.lower() != "until-found":
+                mark = ["?gone"]
+            elif not mark and (name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and UNSEEN.search(value))):
+                mark = ["?hidden"]
+        element = (tag, *names, *mark)
+        hidden += tag in SKIPPED or element[-1] == "?gone"
         links += tag == "a"
         stack.append(element)
     flush()

@@ -26,6 +26,29 @@ def test_blocks():
     assert pages.blocks('<div class="Site-Menu x1" id=top><a>go</a></div>')[0].path[0] == ("div", "site", "menu", "x", "top")
 
 
+@pytest.mark.parametrize("attribute", ['title="The hidden cost of x"', 'class="a hidden b"', "data-x='display:none'", 'title="aria-hidden=true"', 'data-a=1 alt="id=menu hidden "'])
+def test_words_in_values_hide_nothing(attribute):
+    found = pages.blocks(f"<body><article {attribute}><p>One</p><p {attribute}>Two</p></article>")
+    assert [b.text for b in found] == ["One", "Two"] and not any("?hidden" in e or "menu" in e for b in found for e in b.path)
+
+
+def test_unseen_text_is_left_to_the_labeller():
+    found = pages.blocks('<body><div style="color:red; display: none">a</div><div aria-hidden=true class=x>b</div><div hidden=until-found>c</div><div HIDDEN="">no</div><p title="hidden" hidden>no</p>d')
+    assert [(b.text, b.path[-1][-1]) for b in found] == [("a", "?hidden"), ("b", "?hidden"), ("c", "?hidden"), ("d", "body")]
+
+
+def test_a_paragraph_stays_whole():
+    inner = '<math><mi>x</mi><mo>=</mo><mspace width="1em"/><mn>2</mn></math>'
+    for source, text in (
+        (f"If {inner} holds", "If x=2 holds"), ('Press <button class="k">Go</button> now', "Press Go now"), ("A <picture><source srcset=a><img src=b></picture> cat", "A cat"),
+        ('An <svg viewBox="0 0 1 1"><g><path d="M0"/><polygon points="1"/></g></svg> icon', "An icon"), ("The <my-term>word</my-term> is", "The word is"),
+        ("See <object data=x>the text</object> and <canvas>chart</canvas>, <meta itemprop=a content=b>end", "See the text and chart, end"),
+    ):
+        found = pages.blocks(f"<body><article><p>{source} so.</p><p>Next</article>")
+        assert [b.text for b in found] == [text + " so.", "Next"]
+        assert [b.path for b in found] == [(("body",), ("article",), ("p",))] * 2
+
+
 def test_extraction(spark, model):
     many = [(i, f"u{i}", page(i), "x") for i in range(100, 160)] + [(1, None, None, "x"), (1, None, None, "x"), (None, "u", "", "x")]
     got = pages.extract(spark.createDataFrame(many, "page_id long, url string, html string, Text string"), model).collect()
