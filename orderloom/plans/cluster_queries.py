@@ -67,7 +67,8 @@ def k_distance_percentiles(spark, d):
 
 
 EPS = 1.2
-EPS_LIST = [1.1, 1.2, 1.3]
+# The radii 0.5 to 5.0 in steps of 0.5.
+EPS_LIST = [k / 2 for k in range(1, 11)]
 
 
 @query("eps_pairs", "WITH " + _PAIRS_SQL + f"SELECT a AS vec_id, COUNT(*) AS n_neighbours FROM pairs WHERE dist <= {EPS} GROUP BY 1")

@@ -50,8 +50,7 @@ def model_cv(spark, d):
 @query("param_search")
 def param_search(spark, d):
     train, _ = _split(spark, d)
-    trials = [{**p, "maxIter": 5, "maxDepth": min(p["maxDepth"], 5)} for p in forecasting.random_params(3)]
-    return forecasting.search_params(train, KEYS, forecasting.feature_columns(train, KEYS), trials)
+    return forecasting.search_params(train, KEYS, forecasting.feature_columns(train, KEYS), forecasting.random_params(20))
 
 
 def _importance(spark, d):
@@ -186,14 +185,14 @@ gbt_categorise = _categorise("boosted_trees", "gbt_categorise")
 @query("categoriser_leaderboard")
 def categoriser_leaderboard(spark, d):
     labelled, _ = _labelled(spark, d)
-    return rounded(categorise.evaluate_models(labelled, "p_partkey", ["svm", "random_forest"], SETTINGS, k=2))
+    return rounded(categorise.evaluate_models(labelled, "p_partkey", categorise.MODEL_TYPES, SETTINGS, k=5))
 
 
 @query("text_run")
 def text_run(spark, d):
     """Tokens, attributes, champion on the labelled rows, predictions for the rest, one table."""
     labelled, rest = _labelled(spark, d)
-    board = categorise.evaluate_models(labelled, "p_partkey", ["svm", "random_forest"], SETTINGS, k=2)
+    board = categorise.evaluate_models(labelled, "p_partkey", categorise.MODEL_TYPES, SETTINGS, k=5)
     best = board.first().model
     model = categorise.fit_classifier(labelled, best, SETTINGS[best])
     predicted = categorise.predict_unlabeled(model, rest).withColumn("source", F.lit("predicted"))
