@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 
-from orderloom.llm import bpe, fingerprints, licenses, mixing, neardup, pages, quality, repeats, rules, secrets
+from orderloom.llm import bpe, fingerprints, interactions, licenses, mixing, neardup, pages, quality, repeats, rules, secrets
 from orderloom.llm.common import read
 from orderloom.plans.registry import Query
 
@@ -71,4 +71,9 @@ def op3_repeated_passages(spark, d):
     return repeats.report(read(spark, d, "documents"))
 
 
+@query("op12_filter_interactions", interactions.SQL)
+def op12_filter_interactions(spark, d):
+    return interactions.audit(read(spark, d, "documents"), read(spark, d, "labels"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
