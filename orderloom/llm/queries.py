@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 
-from orderloom.llm import bpe, fingerprints, interactions, licenses, mixing, neardup, pages, quality, repeats, rules, secrets
+from orderloom.llm import bpe, fingerprints, interactions, licenses, mixing, neardup, pages, quality, repeats, rules, secrets, whitening
 from orderloom.llm.common import read
 from orderloom.plans.registry import Query
 
@@ -76,4 +76,9 @@ def op12_filter_interactions(spark, d):
     return interactions.audit(read(spark, d, "documents"), read(spark, d, "labels"))
 
 
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark, d):
+    return whitening.report(read(spark, d, "embeddings"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
