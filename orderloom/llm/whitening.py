@@ -67,11 +67,12 @@ def above(a: np.ndarray, shift: float) -> int:
         if width == 2:
             count += 1  # the two signs of a 2 x 2 pivot differ
             side = m[k + 2 :, k : k + 2]
-            m[k + 2 :, k + 2 :] -= side @ np.linalg.solve(m[k : k + 2, k : k + 2], side.T)
+            change = side @ np.linalg.solve(m[k : k + 2, k : k + 2], side.T)
+            m[k + 2 :, k + 2 :] -= (change + change.T) / 2  # symmetric to the last bit, as the choice of pivots asks
         elif abs(m[k, k]) > none:
             count += bool(m[k, k] > 0)
             side = m[k + 1 :, k]
-            m[k + 1 :, k + 1 :] -= np.outer(side, side / m[k, k])
+            m[k + 1 :, k + 1 :] -= np.outer(side, side) / m[k, k]
         k += width
     return count
 
@@ -146,7 +147,7 @@ def leading(a: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
                 low, under = middle, n
             else:
                 high = middle
-    w = np.array(vectors[:k]).T
+    w = np.linalg.qr(np.array(vectors[:k]).T)[0]  # close eigenvalues, found one by one, leave their vectors slightly askew
     return np.array(values[:k]), w * np.where(w[np.abs(w).argmax(axis=0), np.arange(k)] < 0, -1.0, 1.0)
 
 
