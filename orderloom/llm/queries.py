@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 
-from orderloom.llm import bpe, fingerprints, interactions, licenses, mixing, neardup, pages, quality, repeats, rules, secrets, whitening
+from orderloom.llm import bpe, fingerprints, interactions, licenses, mixing, neardup, pages, personal, quality, repeats, rules, secrets, whitening
 from orderloom.llm.common import read
 from orderloom.plans.registry import Query
 
@@ -81,4 +81,10 @@ def op11_embedding_whitening(spark, d):
     return whitening.report(read(spark, d, "embeddings"))
 
 
+@query("op13_personal_data")
+def op13_personal_data(spark, d):
+    table = read(spark, d, "documents")
+    return personal.report(table, personal.fit(table))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
