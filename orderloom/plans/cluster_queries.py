@@ -96,9 +96,42 @@ def dbscan(spark, d):
     return rounded(density.dbscan(_arrays(spark, d), "vec_id", "features", EPS))
 
 
-@query("eps_sweep")
+# Least names are handed on step by step; 40 steps are more than any shortest path between these rows.
+_SWEEP_SQL = "WITH RECURSIVE " + _PAIRS_SQL + f"""
+, near AS MATERIALIZED (SELECT eps, a, b, dist FROM pairs JOIN (SELECT UNNEST({EPS_LIST})::DOUBLE AS eps) r ON dist <= eps),
+core AS MATERIALIZED (SELECT eps, a FROM near GROUP BY ALL HAVING COUNT(*) >= 5),
+link AS MATERIALIZED (SELECT n.eps, n.a, n.b FROM near n JOIN core c ON c.eps = n.eps AND c.a = n.a JOIN core e ON e.eps = n.eps AND e.a = n.b),
+walk AS (SELECT eps, a AS node, a AS root, 0 AS i FROM core
+  UNION ALL (SELECT w.eps, l.b, MIN(w.root), w.i + 1 FROM walk w JOIN link l ON l.eps = w.eps AND l.a = w.node WHERE w.i < 40 GROUP BY w.eps, l.b, w.i)),
+comp AS (SELECT eps, node, MIN(root) AS c FROM walk GROUP BY ALL),
+border AS (SELECT n.eps, n.a AS node, MIN(comp.c) AS c FROM near n JOIN comp ON comp.eps = n.eps AND comp.node = n.b
+  WHERE NOT EXISTS (SELECT 1 FROM core WHERE core.eps = n.eps AND core.a = n.a) GROUP BY ALL),
+placed AS MATERIALIZED (SELECT * FROM comp UNION ALL SELECT * FROM border),
+away AS (SELECT x.eps, x.node, x.c, y.c AS other, SUM(p.dist * p.dist) AS t, COUNT(*) AS n
+  FROM pairs p JOIN placed x ON x.node = p.a JOIN placed y ON y.node = p.b AND y.eps = x.eps GROUP BY ALL),
+judged AS (SELECT eps, node, c, MAX(CASE WHEN c = other AND n > 1 THEN t / (n - 1) END) AS a, MIN(CASE WHEN c <> other THEN t / n END) AS b FROM away GROUP BY ALL),
+scored AS (SELECT eps, CASE WHEN COUNT(DISTINCT c) > 1 THEN AVG(COALESCE((b - a) / greatest(a, b), 0)) END AS s FROM judged GROUP BY eps),
+counted AS (SELECT eps, COUNT(*) AS k, COUNT(DISTINCT c) AS clusters FROM placed GROUP BY eps)
+SELECT r.eps, COALESCE(clusters, 0) AS n_clusters, (SELECT COUNT(*) FROM v) - COALESCE(k, 0) AS n_noise,
+  round(100.0 * ((SELECT COUNT(*) FROM v) - COALESCE(k, 0)) / (SELECT COUNT(*) FROM v), 6) AS noise_pct, round(s, 6) AS silhouette_squared
+FROM (SELECT UNNEST({EPS_LIST})::DOUBLE AS eps) r LEFT JOIN counted USING (eps) LEFT JOIN scored USING (eps)
+"""
+
+
+@query("eps_sweep", _SWEEP_SQL)
 def eps_sweep(spark, d):
-    return rounded(density.eps_sweep(density.dbscan_many(_arrays(spark, d), "vec_id", "features", EPS_LIST)))
+    return rounded(density.eps_sweep(_arrays(spark, d), "vec_id", "features", EPS_LIST))
+
+
+@query(
+    "silhouette_squared_rows",
+    "WITH " + _PAIRS_SQL + """
+    , m AS (SELECT a, la, lb, SUM(dist * dist) AS t, COUNT(*) AS n FROM pairs GROUP BY 1, 2, 3),
+    s AS (SELECT a, la, MAX(CASE WHEN la = lb AND n > 1 THEN t / (n - 1) END) AS x, MIN(CASE WHEN la <> lb THEN t / n END) AS y FROM m GROUP BY 1, 2)
+    SELECT a AS vec_id, CAST(la AS INT) AS cluster, round(COALESCE((y - x) / greatest(x, y), 0), 6) AS silhouette FROM s""",
+)
+def silhouette_squared_rows(spark, d):
+    return rounded(clustering.silhouette_squared_rows(_arrays(spark, d), "vec_id", "features", "label"))
 
 
 @query("dbscan_orders")

@@ -75,6 +75,35 @@ def test_dbscan_equals_the_plain_form(spark, mixed_points, small_blocks):
         assert [got[i].is_core for i in range(len(labels))] == list(core)
 
 
+def test_many_radii_from_one_forest(spark, mixed_points, small_blocks):
+    x = np.vstack([mixed_points, mixed_points[:7], mixed_points[:7], [[1e4] * mixed_points.shape[1]]])
+    eps = [0.2, 0.35, 0.55, 0.9, 3.0, 20.0, 1e5]
+    rows = density.dbscan_many(arrays(spark, x), "id", "features", eps, 4).collect()
+    assert len(rows) == len(eps) * len(x)
+    sweep = {r.eps: r for r in density.eps_sweep(arrays(spark, x), "id", "features", eps, 4).collect()}
+    square = pair_distances(x) ** 2
+    for e in eps:
+        labels, core = plain_dbscan(x, e, 4)
+        got = {r.id: r for r in rows if r.eps == e}
+        assert [got[i].cluster for i in range(len(labels))] == list(labels), e
+        assert [got[i].is_core for i in range(len(labels))] == list(core), e
+        kinds, want = sorted(set(labels) - {-1}), []
+        for i in np.flatnonzero(labels >= 0):
+            own = labels == labels[i]
+            a = square[i, own].sum() / max(1, own.sum() - 1)
+            b = min((square[i, labels == c].mean() for c in kinds if c != labels[i]), default=np.nan)
+            want.append(0.0 if own.sum() == 1 or max(a, b) == 0 else (b - a) / max(a, b))
+        assert (sweep[e].n_clusters, sweep[e].n_noise) == (len(kinds), (labels < 0).sum())
+        assert (sweep[e].silhouette_squared is None) == (len(kinds) < 2)
+        assert len(kinds) < 2 or abs(sweep[e].silhouette_squared - np.mean(want)) < 1e-9
+
+
+def test_many_radii_with_too_few_rows(spark):
+    x = np.zeros((3, 2))
+    rows = density.dbscan_many(arrays(spark, x), "id", "features", [0.5, 1.0], 4).collect()
+    assert len(rows) == 6 and {(r.cluster, r.is_core) for r in rows} == {(-1, False)}
+
+
 def test_dbscan_with_noise_only(spark):
     x = np.arange(20).reshape(-1, 1) * 10.0
     rows = density.dbscan(arrays(spark, x), "id", "features", 0.5, 3).collect()
