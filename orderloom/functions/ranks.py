@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 from orderloom.session import settle
 
+#: Values a column may have before ranks are bracketed, and counted rows one task may rank.
+KEEP_ALL, ONE_TASK = 100_000, 1_000_000
+ACCURACY = 10_000  # of the approximate percentiles; brackets reach five times their error
+
 
 def running_total(
     df: DataFrame,
@@ -62,6 +66,68 @@ def melt(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataF
     return long.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def _brackets(lows: list[float], highs: list[float]) -> list[tuple[float, float]]:
+    """The ranges [low, high] joined where they overlap, rising."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(zip(lows, highs)):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
+def _selected(df: DataFrame, columns: list[str], probabilities: dict[str, float], moments: bool) -> DataFrame | None:
+    """``exact_quantiles`` by selection: the first pass brackets each rank, the second counts what lies below the brackets
+    and keeps only values within them.  None should a rank lie outside its bracket (the error bound would be broken)."""
+    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    reach = 5.0 / ACCURACY
+    asked = [max(0.0, p - reach) for p in probabilities.values()] + [min(1.0, p + reach) for p in probabilities.values()]
+    first = df.agg(*[
+        f(value[c]).alias(f"{c}__{name}")
+        for c in columns
+        for name, f in (("n", F.count), ("q", lambda v: F.percentile_approx(v, asked, ACCURACY)), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
+    ]).first()
+    present = [c for c in columns if first[f"{c}__n"]]
+    if not present:
+        return None
+    parts = []
+    for c in present:
+        v, half = value[c], len(probabilities)
+        kept, below = v.isNotNull(), F.lit(0)
+        if first[f"{c}__n"] > KEEP_ALL:
+            ranges = _brackets(first[f"{c}__q"][:half], first[f"{c}__q"][half:])
+            kept = F.lit(False)
+            for low, high in ranges:
+                kept, below = kept | v.between(low, high), below + (v > high).cast("int")
+        parts.append(F.struct(F.lit(c).alias("metric"), F.when(kept, v).alias("value"), F.when(v.isNotNull(), below).alias("_gap")))
+    # A row outside the brackets only counts for the gap it lies in, before the bracket of the same number.
+    long = df.select(F.inline(F.array(*parts))).where("_gap is not null")
+    counts = settle(long.groupBy("metric", "_gap", "value").agg(F.count(F.lit(1)).alias("_n")))
+    if counts.count() <= ONE_TASK:
+        order = Window.partitionBy("metric").orderBy("_gap", F.asc_nulls_first("value"))
+        ranked = counts.withColumn("_upto", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    else:
+        ranked = running_total(counts, [F.col("_gap"), F.col("value")], {"_upto": "_n"}, by=["metric"])
+    chosen = lambda items: F.coalesce(*[F.when(F.col("metric") == c, F.lit(x)) for c, x in items])
+    ranked = ranked.withColumn("n", chosen((c, first[f"{c}__n"]) for c in present))
+    start, picks, out = F.col("_upto") - F.col("_n"), [], []
+    for name, p in probabilities.items():
+        position = (F.col("n") - 1) * F.lit(float(p))
+        for side, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+            picks.append(F.max(F.when((start <= rank) & (rank < F.col("_upto")), F.col("value"))).alias(f"_{name}_{side}"))
+        low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
+        out.append((low + (high - low) * (position - F.floor(position))).alias(name))
+    found = settle(ranked.groupBy("metric", "n").agg(*picks))  # a row for each column
+    lost = F.lit(False)
+    for name in probabilities:
+        lost = lost | F.col(f"_{name}_lo").isNull() | F.col(f"_{name}_hi").isNull()
+    if not found.where(lost).isEmpty():
+        return None
+    known = [chosen((c, first[f"{c}__{x}"]) for c in present).cast("double").alias(x) for x in ("mean", "std", "min", "max")] if moments else []
+    return found.select("metric", "n", *known, *out)
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -71,9 +137,15 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated quantiles, one row per group and column.
 
+    Without groups ranks are found by selection: two passes, and only values near a rank are moved.
+
     Output: by..., metric, n, and one double per ``probabilities`` item; with
     ``moments`` also mean, std (sample), min and max from the same pass.
     """
+    if not by:
+        found = _selected(df, list(columns), probabilities, moments)
+        if found is not None:
+            return found
     by = list(by)
     counts = melt(df, columns, by).groupBy(*by, "metric", "value").agg(F.count(F.lit(1)).alias("_n"))
     totals = {"_upto": "_n"}

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom.functions import ranks
 from orderloom.functions.ranks import exact_quantiles, running_total
 from orderloom.operators import drift, profiles, quality, retraining
 from orderloom.streaming import streams
@@ -108,6 +109,26 @@ def test_performance_and_triggers(spark):
     assert {r.k: r.register for r in gate.collect()} == {"a": True, "b": False, "n": True}
 
 
+def test_quantiles_by_brackets(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    monkeypatch.setattr(ranks, "KEEP_ALL", 1000)
+    x = np.r_[rng.lognormal(size=60_000), np.full(30_000, 1.5), -rng.random(10_000)]
+    rows = [(float(v), None if i % 3 else float(i % 7), float("nan") if i % 2 else -float(v), None) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(7)
+    wanted = {"lo": 0.0, "q": 0.25, "m": 0.5, "m2": 0.5003, "t": 0.99, "u": 0.99999, "hi": 1.0}
+    data = {"a": x, "b": np.array([r[1] for r in rows if r[1] is not None]), "c": np.array([r[2] for r in rows if r[2] == r[2]])}
+    for one_task in (10**6, 10):
+        monkeypatch.setattr(ranks, "ONE_TASK", one_task)
+        got = {r.metric: r for r in exact_quantiles(df, ["a", "b", "c", "d"], wanted, moments=True).collect()}
+        assert set(got) == set(data)
+        for c, v in data.items():
+            assert got[c].n == len(v) and np.allclose([got[c][k] for k in wanted], np.quantile(v, list(wanted.values())), rtol=1e-12, atol=0)
+            assert np.allclose([got[c].mean, got[c].std, got[c].min, got[c].max], [v.mean(), v.std(ddof=1), v.min(), v.max()])
+    monkeypatch.setattr(ranks.F, "percentile_approx", lambda v, asked, accuracy: F.array(*[F.lit(-5.0)] * len(asked)))
+    broken = {r.metric: r.m for r in exact_quantiles(df, ["a"], {"m": 0.5}).collect()}
+    assert broken == {"a": np.quantile(x, 0.5)}
+
+
 def test_quantiles_with_heavy_ties(spark):
     rng = np.random.default_rng(5)
     x = np.r_[rng.exponential(10, 700), np.full(400, 7.0)]
