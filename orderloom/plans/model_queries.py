@@ -123,16 +123,16 @@ def forecast_run(spark, d):
 def retrain_run(spark, d):
     """Champion by cross-validation, the gate against lag-7 forecasts on the same folds, and the champion refitted on all days.
 
-    Boosted trees are saved and loaded again; additive models are refitted where they forecast.
+    Whichever model won is saved, loaded again and forecasts 14 days.
     """
     features = _features(spark, d)
     cv = settle(forecasting.run_cv(features, KEYS, 3, params=QUICK))
+    path = f"{shared_folder(spark).rstrip('/')}/champion-{uuid.uuid4().hex}"
     if forecasting.champion_name(cv) == "boosted_trees":
-        path = f"{shared_folder(spark).rstrip('/')}/champion-{uuid.uuid4().hex}"
         forecasting.train_final(features, KEYS, path, QUICK)
         ahead = forecasting.batch_forecast(PipelineModel.load(path), features, KEYS, 14)
     else:
-        ahead = forecasting.forecast_with("additive", features, KEYS, 14)
+        ahead = forecasting.forecast_with("additive", features, KEYS, 14, path=path)
     candidate = evaluation.champion(cv).select(F.lit("all").alias("scope"), "champion", F.col("mean_mae").alias("new_mae"))
     naive = series_ops.test_folds(features, KEYS, 3).groupBy("fold").agg(F.avg(F.abs(F.col("sales") - F.col("sales_lag_7"))).alias("mae"))
     production = naive.agg(F.avg("mae").alias("current_mae")).select(F.lit("all").alias("scope"), "current_mae")

@@ -141,6 +141,35 @@ def test_per_series_models_beat_the_zero_forecast(spark):
         assert metrics["a"].n == 40 and metrics["a"].mape_pct < 12 and abs(metrics["b"].mae / metrics["a"].mae - 10) < 3
 
 
+def test_additive_fit_is_that_of_the_whole_series(spark, tmp_path):
+    y = wave(400)
+    both = frame(spark, y).unionByName(frame(spark, y[::-1] * 3, key="b")).withColumn("sales", F.expr("if(k = 'b' and day(date) = 7, null, sales)"))
+    fitted = forecasting.fit_additive(both, KEYS)
+    forecasting.save_additive(fitted, str(tmp_path / "additive"))
+    got = {r.k: r for r in forecasting.load_additive(spark, str(tmp_path / "additive")).collect()}
+    for k in ("a", "b"):
+        rows = [r for r in both.where(F.col("k") == k).orderBy("date").collect() if r.sales is not None]
+        day = np.array([(r.date - date(1970, 1, 1)).days for r in rows], float)
+        t = (day - day[0]) / (day[-1] - day[0])
+        x = [np.ones_like(t), t] + [np.maximum(t - c, 0) for c in np.arange(1, 26) * 0.8 / 25]
+        x += [f(2 * np.pi * j * day / p) for p, n in ((7.0, 3), (365.25, 10)) for j in range(1, n + 1) for f in (np.sin, np.cos)]
+        x, penalty = np.array(x).T, np.r_[1e-8, 1e-8, np.ones(51)]
+        want = np.linalg.solve(x.T @ x + np.diag(penalty), x.T @ np.array([r.sales for r in rows]))
+        assert (got[k].origin, got[k].span) == (day[0], day[-1] - day[0]) and np.allclose(got[k].weights, want, rtol=1e-6, atol=1e-6)
+    unknown = forecasting.predict_additive(fitted, frame(spark, range(3), key="new"), KEYS).collect()
+    assert [r.predicted for r in unknown] == [0.0, 0.0, 0.0]
+
+
+def test_a_kept_additive_winner(spark, tmp_path):
+    features = ops.training_features(frame(spark, wave(120)), KEYS)
+    path = str(tmp_path / "winner")
+    ahead = forecasting.forecast_with("additive", features, KEYS, 14, path=path).orderBy("date").collect()
+    kept = forecasting.load_additive(spark, path)
+    future = forecasting.future_features(features, KEYS, 14).withColumn("sales", F.lit(None).cast("double"))
+    again = forecasting.predict_additive(kept, future, KEYS).orderBy("date").collect()
+    assert [r.forecast for r in ahead] == [round(r.predicted, 2) for r in again] and {r.model for r in ahead} == {"additive"}
+
+
 def test_short_series_is_forecast(spark):
     rows = ops.chrono_split(frame(spark, range(10)), KEYS)
     out = forecasting.additive_forecast(rows.where("split = 'train'"), rows.where("split = 'test'"), KEYS).collect()
