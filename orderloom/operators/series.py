@@ -189,27 +189,26 @@ def autocorrelation(series: DataFrame, keys: Sequence[str], max_lag: int = 35, t
 
 
 def partial_autocorrelation(acf: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Durbin-Levinson recursion on the biased autocorrelation (at most 36 rows per series)."""
+    """Durbin-Levinson recursion on the biased autocorrelation (at most 36 values per series), on arrays."""
     keys = list(keys)
+    rows = acf.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("lag", "acf"))), lambda x: x["acf"]).alias("_rho"))
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda a, x: a + x)
+    times = lambda a, b: total(F.zip_with(a, b, lambda x, y: x * y))
+    start = F.struct(F.array().cast("array<double>").alias("phi"), F.array(F.lit(1.0)).alias("out"))
 
-    def recurse(pdf: pd.DataFrame) -> pd.DataFrame:
-        rho = pdf.sort_values("lag")["acf"].to_numpy()
-        phi: list[float] = []
-        out = [1.0]
-        for k in range(1, len(rho)):
-            top = rho[k] - sum(phi[j] * rho[k - 1 - j] for j in range(k - 1))
-            bottom = 1.0 - sum(phi[j] * rho[j + 1] for j in range(k - 1))
-            last = top / bottom
-            phi = [phi[j] - last * phi[k - 2 - j] for j in range(k - 1)] + [last]
-            out.append(last)
-        frame = pd.DataFrame({"lag": range(len(out)), "pacf": out})
-        for key in keys:
-            frame[key] = pdf[key].iloc[0]
-        return frame[[*keys, "lag", "pacf"]]
-
-    types = dict(acf.dtypes)
-    schema = ", ".join([f"{k} {types[k]}" for k in keys] + ["lag int", "pacf double"])
-    return acf.groupBy(*keys).applyInPandas(recurse, schema)
+    def step(state: Column, k: Column) -> Column:
+        phi = state["phi"]
+        near = F.slice("_rho", F.lit(2), k - 1)
+        last = F.try_divide(F.get("_rho", k) - times(phi, F.reverse(near)), 1.0 - times(phi, near))
+
+        def with_last(v: Column) -> Column:
+            fresh = F.concat(F.zip_with(phi, F.reverse(phi), lambda x, y: x - v * y), F.array(v))
+            return F.struct(fresh.alias("phi"), F.concat(state["out"], F.array(v)).alias("out"))
+
+        return F.get(F.transform(F.array(last), with_last), 0)
+
+    lags = F.slice(F.sequence(F.lit(0), F.size("_rho")), F.lit(2), F.size("_rho") - 1)
+    return rows.select(*keys, F.posexplode(F.aggregate(lags, start, step, lambda s: s["out"])).alias("lag", "pacf"))
 
 
 def chrono_split(series: DataFrame, keys: Sequence[str], train_share: float = 0.8) -> DataFrame:

@@ -231,14 +231,41 @@ def acf(spark, d):
     return rounded(ops.autocorrelation(daily_series(spark, d), KEYS))
 
 
-@query("pacf")
+_ACF_SQL = """
+, c AS (SELECT series, sales - AVG(sales) OVER (PARTITION BY series) AS x, row_number() OVER (PARTITION BY series ORDER BY date) AS i,
+        COUNT(*) OVER (PARTITION BY series) AS n FROM daily),
+v AS (SELECT series, SUM(x * x) AS s FROM c GROUP BY 1),
+acf AS (SELECT a.series, a.n, CAST(b.i - a.i AS INT) AS lag, SUM(a.x * b.x) / MAX(v.s) AS r
+  FROM c a JOIN c b ON a.series = b.series AND b.i - a.i BETWEEN 0 AND 35 JOIN v ON v.series = a.series GROUP BY 1, 2, 3)
+"""
+
+
+@query(
+    "pacf",
+    "WITH RECURSIVE " + DAILY_SQL + _ACF_SQL + """
+    , listed AS (SELECT series, list(r ORDER BY lag) AS rho FROM acf GROUP BY 1),
+    walk AS (SELECT series, rho, 0 AS k, CAST([] AS DOUBLE[]) AS phi, CAST(1 AS DOUBLE) AS last FROM listed
+      UNION ALL SELECT series, rho, k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - next * phi[k + 1 - j]), next), next
+      FROM (SELECT *, (rho[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * rho[k + 2 - j])), 0))
+        / (1 - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * rho[j + 1])), 0)) AS next FROM walk WHERE k + 1 < len(rho)))
+    SELECT series, CAST(k AS INT) AS lag, round(last, 6) + 0.0 AS pacf FROM walk""",
+)
 def pacf(spark, d):
-    return ops.partial_autocorrelation(ops.autocorrelation(daily_series(spark, d), KEYS), KEYS)
+    return rounded(ops.partial_autocorrelation(ops.autocorrelation(daily_series(spark, d), KEYS), KEYS))
 
 
-@query("ljung_box")
+@query(
+    "ljung_box",
+    # The tail of chi-square is one less the series of the lower incomplete gamma function.
+    "WITH " + DAILY_SQL + _ACF_SQL + """
+    , q AS (SELECT series, m AS lag, n * (n + 2) * SUM(r * r / (n - acf.lag)) AS statistic FROM acf, (VALUES (7), (14)) l(m)
+      WHERE acf.lag BETWEEN 1 AND m GROUP BY series, n, m)
+    SELECT series, CAST(lag AS INT) AS lag, round(statistic, 6) AS statistic,
+      CASE WHEN statistic > 2000 THEN 0.0 ELSE round(1 - (SELECT SUM(exp((lag / 2.0 + i) * ln(statistic / 2) - statistic / 2 - lgamma(lag / 2.0 + i + 1))) FROM range(0, 3000) g(i)), 6) + 0.0 END AS p_value
+    FROM q""",
+)
 def ljung_box(spark, d):
-    return evaluation.ljung_box(ops.autocorrelation(daily_series(spark, d), KEYS), KEYS)
+    return rounded(evaluation.ljung_box(ops.autocorrelation(daily_series(spark, d), KEYS), KEYS))
 
 
 _SPLIT_SQL = f"""
