@@ -29,22 +29,23 @@ class Notice:
     phrase: str
     label: str
     base: bool = False
+    sure: str = ""  # words that carry the meaning and must stand as they are
 
     @property
     def edits(self) -> int:
         return 1 if len(self.phrase) < 16 else 2 if len(self.phrase) < 26 else 3
 
 
-BASE = (Notice("mit license", "mit", True), Notice("apache license", "apache", True), Notice("general public license", "gpl", True))
+BASE = (Notice("mit license", "mit", True, "mit"), Notice("apache license", "apache", True), Notice("general public license", "gpl", True))
 NOTICES = BASE + (
     Notice("lesser general public license", "lgpl"),
     Notice("affero general public license", "agpl"),
     Notice("mozilla public license", "mpl"),
     Notice("eclipse public license", "epl"),
-    Notice("bsd license", "bsd"),
+    Notice("bsd license", "bsd", sure="bsd"),
     Notice("redistribution and use in source and binary forms", "bsd"),
     Notice("permission is hereby granted free of charge", "mit"),
-    Notice("licensed under cc by", "cc"),
+    Notice("licensed under cc by", "cc", sure="cc by"),
     Notice("creative commons attribution", "cc"),
     Notice("released into the public domain", "public-domain"),
 )
@@ -95,7 +96,7 @@ def find(text: str, notices: tuple[Notice, ...] = NOTICES) -> tuple[int, list[di
             if stream.startswith(phrase, at) and stream[stop : stop + 1] == b" ":
                 own.append((0, at, stop))
             elif m := pattern.match(stream, at, stop + notice.edits + 1):
-                if m.end() > at:
+                if m.end() > at and (not notice.sure or b" " + notice.sure.encode() + b" " in b" " + m.group() + b" "):
                     own.append((sum(m.fuzzy_counts), at, m.end()))
         taken = []
         for edits, at, stop in sorted(own):

@@ -42,6 +42,13 @@ def test_edits_and_spans():
     assert licenses.find("nothing to see in a public general store; permit licenses apply")[1] == []
 
 
+def test_short_names_are_not_guessed():
+    for text in ("a bad license", "hit license", "it license", "git license", "a mid license", "licensed under cd by nobody"):
+        assert licenses.find(text)[1] == [], text
+    for text, label in (("MIT licence", "mit"), ("mit lisense", "mit"), ("BSD licence", "bsd"), ("licenced under CC BY", "cc")):
+        assert {m["label"] for m in licenses.find(text)[1]} == {label}, text
+
+
 def test_seeds_lose_no_match():
     """Every word beginning where the pattern matches is among the candidates."""
     import regex
