@@ -49,9 +49,9 @@ def sketch(df: DataFrame, text: Column, name: str, scale: int = SCALE) -> DataFr
     return df.select(*keep, retain(F.col("_h"), scale).alias(name))
 
 
-def merge(*sketches: Column) -> Column:
-    """The sketch of the union of the shingle sets."""
-    return F.sort_array(reduce(F.array_union, sketches))
+def merge(*sketches: Column, scale: int = SCALE) -> Column:
+    """The sketch of the union of the shingle sets; a lowest hash that stood in for an empty sketch stays only if the union is empty too."""
+    return retain(reduce(F.array_union, sketches), scale)
 
 
 def likeness(a: Column, b: Column) -> Column:

@@ -80,9 +80,10 @@ SQL = """
 WITH sizes AS (SELECT source, CAST(sum(length(coalesce(text, ''))) AS BIGINT) AS chars FROM documents GROUP BY source),
 aims AS (SELECT source, chars, CASE WHEN chars > 0 THEN power(CAST(chars AS DOUBLE), 0.5) ELSE 0.0 END AS aim FROM sizes),
 rate AS (SELECT source, CASE WHEN chars = 0 THEN 1.0 ELSE aim / sum(aim) OVER () * sum(chars) OVER () / chars END AS rate FROM aims),
-pmf AS (SELECT source, k, exp(-rate + coalesce((SELECT sum(ln(rate) - ln(i)) FROM range(1, 400) q(i) WHERE i <= k), 0)) AS p FROM rate, range(0, 400) s(k)),
+steps AS (SELECT source, rate, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 40) AS BIGINT) + 1)) AS k FROM rate),
+pmf AS (SELECT source, k, exp(-rate + sum(CASE WHEN k > 0 THEN ln(rate) - ln(k) ELSE 0 END) OVER (PARTITION BY source ORDER BY k)) AS p FROM steps),
 cdf AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM pmf),
 u AS (SELECT *, (CAST(('0x' || substr(md5('7:' || doc_id), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0 AS u FROM documents),
 n AS (SELECT u.doc_id, u.text, u.lang, u.source, u.n_chars, count(cdf.k) AS times FROM u JOIN cdf ON u.source IS NOT DISTINCT FROM cdf.source AND cdf.c <= u.u GROUP BY ALL)
-SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INT) AS copy, md5('7:' || doc_id || ':at:' || copy) AS shuffle_key FROM n, range(0, 400) r(copy) WHERE copy < times
+SELECT doc_id, text, lang, source, n_chars, CAST(copy AS INT) AS copy, md5('7:' || doc_id || ':at:' || copy) AS shuffle_key FROM (SELECT *, unnest(range(0, times)) AS copy FROM n)
 """

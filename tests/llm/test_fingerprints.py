@@ -68,3 +68,11 @@ def test_empty_and_native(spark, capsys):
     assert df.collect() == []
     df.explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_merge_is_the_sketch_of_the_union(spark):
+    top = fp.POSITIVE
+    low, high, higher = [5, 9], [top - 3], [top - 2]
+    rows = [(low, high, low), (high, higher, high), (high, [], high), ([], [], []), (low, [9, 7], [5, 7, 9])]
+    df = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>, want array<bigint>")
+    assert all(r.got == r.want for r in df.select("want", fp.merge(F.col("a"), F.col("b")).alias("got")).collect())
