@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from orderloom.functions import calendar
@@ -41,6 +42,23 @@ def onehot(spark, d):
     return rounded(ops.one_hot(orders, ops.learn_categories(orders, ops.CATEGORICAL)))
 
 
+@query(
+    "onehot_sparse",
+    """SELECT o_orderkey, feature, 1.0::DOUBLE AS value FROM (
+      SELECT o_orderkey, 'customer_' || CAST(o_custkey AS VARCHAR) AS feature FROM orders UNION ALL
+      SELECT o_orderkey, 'delivery_type_' || o_orderpriority FROM orders UNION ALL SELECT o_orderkey, 'payment_name_' || o_orderstatus FROM orders)""",
+)
+def onehot_sparse(spark, d):
+    """Long form: the places of each order's vector that are set, customers included."""
+    orders = read_table(spark, d, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("customer"), F.col("o_orderpriority").alias("delivery_type"), F.col("o_orderstatus").alias("payment_name")
+    )
+    model = ops.fit_sparse_one_hot(orders, ["customer", *ops.CATEGORICAL])
+    names = spark.createDataFrame(list(enumerate(ops.sparse_names(model))), "at int, feature string")
+    set_places = ops.sparse_one_hot(model, orders).select("o_orderkey", F.posexplode(vector_to_array("onehot")).alias("at", "value")).where("value != 0")
+    return set_places.join(names, "at").select("o_orderkey", "feature", "value")
+
+
 @query(
     "reduce_cardinality",
     """WITH c AS (SELECT o_custkey, COUNT(*) AS n FROM orders GROUP BY 1)

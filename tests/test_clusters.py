@@ -232,3 +232,16 @@ def test_dense_cells_join_through_rows_that_do_not_stand_for_them(spark):
     apart = np.array([[10.05], [10.06], [10.07], [11.95], [11.94], [11.93]])
     rows = density.dbscan(arrays(spark, np.vstack([near, apart])), "id", "features", 1.0, 3).orderBy("id").collect()
     assert [r.cluster for r in rows] == [0] * 6 + [1] * 3 + [2] * 3
+
+
+def test_one_hot_of_many_values(spark):
+    from orderloom.operators import features
+
+    rows = [(i, f"v{i % 5000:04d}", None if i % 3 else "x") for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, name string, kind string")
+    model = features.fit_sparse_one_hot(df, ["name", "kind", "absent"])
+    names = features.sparse_names(model)
+    assert len(names) == 5001 and names[:2] == ["name_v0000", "name_v0001"] and names[-1] == "kind_x"
+    more = df.where("id < 4").unionByName(spark.createDataFrame([(9, "new", "x")], df.schema))
+    got = {r.id: r.onehot for r in features.sparse_one_hot(model, more).collect()}
+    assert got[0].size == 5001 and list(got[0].indices) == [0, 5000] and list(got[1].indices) == [1] and list(got[9].indices) == [5000]
