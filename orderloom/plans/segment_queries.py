@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from orderloom.functions import calendar
@@ -55,8 +54,8 @@ def onehot_sparse(spark, d):
     )
     model = ops.fit_sparse_one_hot(orders, ["customer", *ops.CATEGORICAL])
     names = spark.createDataFrame(list(enumerate(ops.sparse_names(model))), "at int, feature string")
-    set_places = ops.sparse_one_hot(model, orders).select("o_orderkey", F.posexplode(vector_to_array("onehot")).alias("at", "value")).where("value != 0")
-    return set_places.join(names, "at").select("o_orderkey", "feature", "value")
+    places = ops.set_places(ops.sparse_one_hot(model, orders), "onehot")
+    return places.join(names, "at").select("o_orderkey", "feature", "value")
 
 
 @query(

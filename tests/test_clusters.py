@@ -245,3 +245,5 @@ def test_one_hot_of_many_values(spark):
     more = df.where("id < 4").unionByName(spark.createDataFrame([(9, "new", "x")], df.schema))
     got = {r.id: r.onehot for r in features.sparse_one_hot(model, more).collect()}
     assert got[0].size == 5001 and list(got[0].indices) == [0, 5000] and list(got[1].indices) == [1] and list(got[9].indices) == [5000]
+    long = features.set_places(features.sparse_one_hot(model, more), "onehot").collect()
+    assert sorted((r.id, r["at"], r.value) for r in long) == [(0, 0, 1.0), (0, 5000, 1.0), (1, 1, 1.0), (2, 2, 1.0), (3, 3, 1.0), (3, 5000, 1.0), (9, 5000, 1.0)]
