@@ -76,6 +76,30 @@ def eps_pairs(spark, d):
     return neighbours.neighbour_counts(_arrays(spark, d), "vec_id", "features", EPS)
 
 
+def _sizes(spark, d):
+    """Orders as points: price in 10,000s, lines, and pieces in 50s."""
+    lines = read_table(spark, d, "lineitem").groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.col("l_quantity").cast("double")).alias("q")
+    )
+    orders = read_table(spark, d, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    return orders.select("o_orderkey", F.array(F.col("o_totalprice").cast("double") / 10000.0, "n", F.col("q") / 50.0).alias("features"))
+
+
+_SIZES_SQL = """WITH l AS (SELECT l_orderkey, COUNT(*)::DOUBLE AS y, SUM(l_quantity::DOUBLE) / 50 AS z FROM lineitem GROUP BY 1),
+p AS (SELECT o_orderkey AS k, o_totalprice::DOUBLE / 10000 AS x, y, z FROM orders JOIN l ON o_orderkey = l_orderkey),
+d AS (SELECT a.k, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z)) AS dist FROM p a JOIN p b ON {}) """
+
+
+@query("knn_distance_orders", _SIZES_SQL.format("true") + "SELECT k AS o_orderkey, round(min(dist, 5)[-1], 6) AS distance FROM d GROUP BY 1")
+def knn_distance_orders(spark, d):
+    return rounded(neighbours.kth_neighbour(_sizes(spark, d), "o_orderkey", "features", 5))
+
+
+@query("eps_pairs_orders", _SIZES_SQL.format("a.y = b.y") + "SELECT k AS o_orderkey, COUNT(*) AS n_neighbours FROM d WHERE dist <= 0.25 GROUP BY 1")
+def eps_pairs_orders(spark, d):
+    return neighbours.neighbour_counts(_sizes(spark, d), "o_orderkey", "features", 0.25)
+
+
 def _dbscan_sql(eps: float) -> str:
     return "WITH RECURSIVE " + _PAIRS_SQL + f"""
     , near AS (SELECT a, b FROM pairs WHERE dist <= {eps}),
