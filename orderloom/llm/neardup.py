@@ -14,19 +14,24 @@ documents share by the thousand, make no pairs.  Then
    passage that many documents share does not enter.  No list gives all its pairs, none is cut.
 
 Words are runs of anything but ASCII white space with A-Z in lower case; null and empty texts have an empty set and are
-linked with nothing; with fewer words than a shingle the whole sequence is one.  Rows that share a doc_id are one node;
-rows without doc_id are linked with nothing, have a null component and are kept.  An empty table gives an empty table.
+linked with nothing; with fewer words than a shingle the whole sequence is one.  A node is a set, not a doc_id: rows that
+share a doc_id but not their set are linked for themselves, and equal rows go the same way.  Rows without doc_id are linked
+with nothing, have a null component and are kept.  An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from orderloom.llm.common import Workspace, arrow_map
+from orderloom.functions.ranks import running_total
+from orderloom.llm.common import Workspace, arrow_map, plus
 from orderloom.operators.components import connected_components
 
 K = 48
@@ -70,24 +75,61 @@ def sketches(df: DataFrame, words: int, k: int = K) -> DataFrame:
         ids = batch.column(0)
         for start in range(0, len(batch), 1000):
             made = [shingle_set(t, words) for t in batch.column(1).slice(start, 1000).to_pylist()]
-            keys = [xxhash.xxh3_128_digest(s.tobytes()) for s in made]
+            keys = _digest(made)
             yield pa.RecordBatch.from_arrays([ids.slice(start, 1000), pa.array([len(s) for s in made], pa.int64()), pa.array(keys, pa.binary()), _lists([s[:k] for s in made])], ["doc_id", "n", "set_key", "sketch"])
 
     return arrow_map(df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), run, "doc_id long, n long, set_key binary, sketch array<long>")
 
 
-def full_sets(df: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(node, n, shingles) of the documents whose doc_id is a ``node`` of ``ids``."""
-    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    picked = df.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids) if few else ids, "node", "left_semi")
+def _digest(made: list[np.ndarray]) -> list[bytes]:
+    return [xxhash.xxh3_128_digest(s.tobytes()) for s in made]
 
-    def run(batch: pa.RecordBatch):
-        nodes = batch.column(0)
-        for start in range(0, len(batch), 500):
-            made = [shingle_set(t, words) for t in batch.column(1).slice(start, 500).to_pylist()]
-            yield pa.RecordBatch.from_arrays([nodes.slice(start, 500), pa.array([len(s) for s in made], pa.int64()), _lists(made)], ["node", "n", "shingles"])
 
-    return arrow_map(picked.select("node", "text"), run, "node long, n long, shingles array<long>")
+@dataclass
+class Corpus:
+    """Documents, the number of each distinct set, and the doc_ids that hold several sets."""
+
+    df: DataFrame
+    words: int
+    numbers: DataFrame  # set_key, doc (its lowest doc_id), node (rising with doc)
+    mixed: DataFrame | None  # doc_id; None if every doc_id holds one set
+
+    def sets(self, nodes: DataFrame) -> DataFrame:
+        """(node, n, shingles) of the sets ``nodes``, made again from the texts."""
+        texts = self.df.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
+        words = self.words
+
+        def run(batch: pa.RecordBatch):
+            at = batch.column(0)
+            for start in range(0, len(batch), 500):
+                made = [shingle_set(t, words) for t in batch.column(1).slice(start, 500).to_pylist()]
+                yield pa.RecordBatch.from_arrays([at.slice(start, 500), pa.array(_digest(made), pa.binary()), pa.array([len(s) for s in made], pa.int64()), _lists(made)], ["node", "set_key", "n", "shingles"])
+
+        few = nodes.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+        mark = F.broadcast if few else (lambda x: x)
+        schema = "node long, set_key binary, n long, shingles array<long>"
+        if self.mixed is None:
+            picked = texts.withColumnRenamed("doc", "node").join(mark(nodes), "node", "left_semi")
+            return arrow_map(picked.select("node", "text"), run, schema).drop("set_key")
+        # Which of its sets a row of such a doc_id holds is known by the digest alone.
+        named = nodes.join(self.numbers, "node").select("node", "set_key", "doc")
+        picked = texts.join(named.select("doc").distinct(), "doc", "left_semi")
+        made = arrow_map(picked.select("doc", "text"), run, schema).drop("node")
+        return made.join(mark(named.select("node", "set_key")), "set_key").select("node", "n", "shingles").dropDuplicates(["node"])
+
+
+def _numbered(rows: DataFrame, space: Workspace) -> tuple[DataFrame, DataFrame | None]:
+    """The sets with their numbers, and the doc_ids that hold several sets.
+
+    Where every doc_id holds one set, a set's number is its lowest doc_id.  Else it is its place by doc_id and digest.
+    """
+    sets = rows.where("doc_id is not null and n > 0").groupBy("set_key").agg(F.min("doc_id").alias("doc"))
+    sign = F.xxhash64("set_key")
+    mixed = space.keep(rows.where("doc_id is not null").groupBy("doc_id").agg(F.min(sign).alias("x"), F.max(sign).alias("y")).where("x != y").select("doc_id"), "mixed")
+    if mixed.isEmpty():
+        return sets.withColumn("node", F.col("doc")), None
+    places = running_total(sets.withColumn("_one", F.lit(1).cast("long")), [F.col("doc"), F.col("set_key")], {"node": "_one"})
+    return space.keep(places.select("set_key", "doc", "node"), "numbers"), mixed
 
 
 def _runs(sketch: Column, n: Column) -> Column:
@@ -114,24 +156,24 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("both") >= percent * (F.col("na") + F.col("nb") - F.col("both"))).select("a", "b")
 
 
-def _check(pairs: DataFrame, nodes: DataFrame, df: DataFrame, words: int, k: int, percent: int, space: Workspace, name: str) -> DataFrame:
+def _check(pairs: DataFrame, nodes: DataFrame, corpus: Corpus, k: int, percent: int, space: Workspace, name: str) -> DataFrame:
     likely = space.keep(_promising(pairs, nodes, k), f"{name}_likely")
     ids = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return space.keep(_confirmed(likely, full_sets(df, ids, words), percent).distinct(), f"{name}_links")
+    return space.keep(_confirmed(likely, corpus.sets(ids), percent).distinct(), f"{name}_links")
 
 
 def _components(links: DataFrame, space: Workspace, name: str) -> DataFrame:
     return space.keep(connected_components(links), name)
 
 
-def _rare_prefix_pairs(nodes: DataFrame, df: DataFrame, labels: DataFrame, words: int, percent: int) -> DataFrame:
+def _rare_prefix_pairs(nodes: DataFrame, corpus: Corpus, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of ``nodes`` from different components that share one of their rarest shingles.
 
     With shingles ordered by how many of the nodes have them, sets alike at ``percent`` meet in the first
     n - ceil(percent * n / 100) + 1 of both, and what follows the first one they share must be long enough on both
     sides for the whole overlap.  Shingles of one node only take their place in the order but no rows.
     """
-    sets = full_sets(df, nodes, words).dropDuplicates(["node"])
+    sets = corpus.sets(nodes).dropDuplicates(["node"])
     tokens = sets.select("node", "n", F.explode("shingles").alias("s"))
     counts = tokens.groupBy("s").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     shared = tokens.join(counts, "s").groupBy("node").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("f", "s"))).alias("all"))  # as long as the document
@@ -147,20 +189,19 @@ def _rare_prefix_pairs(nodes: DataFrame, df: DataFrame, labels: DataFrame, words
     return x.join(y, "s").where((F.col("ca") < F.col("cb")) & enough).select("a", "b").distinct()
 
 
-def groups(df: DataFrame, words: int = 5, percent: int = 80, k: int = K) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row: the lowest doc_id that links of at least ``percent`` reach."""
-    space = Workspace(df.sparkSession, "neardup")
+def _grouped(df: DataFrame, words: int, percent: int, k: int, space: Workspace) -> tuple[DataFrame, DataFrame | None]:
+    """(doc_id, n, set_key, component_id, first) of every row, ``first`` for the set that stands for its component; and the doc_ids of several sets."""
     rows = space.keep(sketches(df, words, k), "sketches")
-    nodes = space.keep(
-        rows.where("doc_id is not null and n > 0").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "nodes"
-    )
+    numbers, mixed = _numbered(rows, space)
+    corpus = Corpus(df, words, numbers, mixed)
+    sets = rows.where("doc_id is not null and n > 0").groupBy("set_key").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    nodes = space.keep(sets.withColumn("node", F.col("doc")) if mixed is None else sets.join(numbers.select("set_key", "node"), "set_key"), "nodes")
     runs = nodes.where("n >= 4").select("node", F.explode(F.array_distinct(_runs(F.col("sketch"), F.col("n")))).alias("run"))
     heads = runs.groupBy("run").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
     listed = space.keep(runs.join(heads, "run"), "lists")
 
     stars = listed.where("node != head").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    links = _check(stars, nodes, df, words, k, percent, space, "star")
-    # Rows that share a doc_id are one node already; equal sets hang on the lowest of their doc_ids.
+    links = _check(stars, nodes, corpus, k, percent, space, "star")
     labels = _components(links, space, "star_components")
 
     placed = listed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -169,17 +210,56 @@ def groups(df: DataFrame, words: int = 5, percent: int = 80, k: int = K) -> Data
     short = left.where(f"size <= {SHORT_LIST}").groupBy("run").agg(F.sort_array(F.collect_list(F.struct("node", "component"))).alias("m"))
     pairs = short.select(F.explode(F.flatten(F.transform("m", lambda x: F.transform(F.filter("m", lambda y: (y["node"] > x["node"]) & (y["component"] != x["component"])), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))).alias("p")).select("p.*")
     long_nodes = space.keep(left.where(f"size > {SHORT_LIST}").select("node").distinct(), "long_nodes")
-    pairs = pairs.unionByName(_rare_prefix_pairs(long_nodes, df, labels, words, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    more = _check(pairs.distinct(), nodes, df, words, k, percent, space, "cross")
+    pairs = pairs.unionByName(_rare_prefix_pairs(long_nodes, corpus, labels, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    more = _check(pairs.distinct(), nodes, corpus, k, percent, space, "cross")
     labels = _components(links.unionByName(more), space, "components")
 
-    found = rows.select("doc_id", "n", "set_key").join(nodes.select("set_key", "node"), "set_key", "left").join(labels, "node", "left")
-    component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "node", "doc_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    if mixed is None:
+        labels = labels.withColumn("component_id", F.col("component"))
+    else:  # a set's place rises with its doc_id, so the first set of a component has the lowest
+        labels = labels.join(numbers.select(F.col("node").alias("component"), F.col("doc").alias("component_id")), "component")
+    named = nodes.select("set_key", "node", "doc").join(labels, "node", "left").select(
+        "set_key", F.coalesce("component_id", "doc").alias("component_id"), (F.coalesce("component", "node") == F.col("node")).alias("first")
+    )
+    # Empty sets are all equal and are linked with nothing, so they stay out of the join.
+    known = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    small = rows.select("doc_id", "n", "set_key")
+    alone = small.where(~known).select("*", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
+    return small.where(known).join(named, "set_key").select("doc_id", "n", "set_key", "component_id", "first").unionByName(alone), mixed
+
+
+def groups(df: DataFrame, words: int = 5, percent: int = 80, k: int = K) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row: the lowest doc_id that links of at least ``percent`` reach."""
+    found, _ = _grouped(df, words, percent, k, Workspace(df.sparkSession, "neardup"))
+    return found.select("doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
 def keep_one(df: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``df`` without documents of which a near duplicate with a lower doc_id stays."""
-    gone = Workspace(df.sparkSession, "neardup").keep(groups(df, words, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    """The rows of ``df`` without those of which a near duplicate stays: that with the lowest doc_id.
+
+    Near duplicates under one doc_id leave one set of them; equal rows of one doc_id all stay.  A row is judged by its own
+    text: one that shares the doc_id of a dropped row, but not its text, is not dropped with it.
+    """
+    space = Workspace(df.sparkSession, "neardup")
+    found, mixed = _grouped(df, words, percent, K, space)
+    stays = F.col("doc_id").isNull() | (F.col("first") & (F.col("doc_id") == F.col("component_id")))
+    gone = space.keep(found.where(~stays).select(F.col("doc_id").alias("_gone"), F.col("set_key").alias("_set")).distinct(), "gone")
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return df.join(F.broadcast(gone) if few else gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    mark = F.broadcast if few else (lambda x: x)
+    own = F.col("doc_id").cast("long")
+    if mixed is None:
+        return df.join(mark(gone.select("_gone")), own == F.col("_gone"), "left_anti")
+    several = gone.join(mixed, F.col("_gone") == mixed["doc_id"], "left_semi")
+    single = gone.join(mixed, F.col("_gone") == mixed["doc_id"], "left_anti")
+    ids = mixed.select(F.col("doc_id").alias("_mixed"))
+    rest = df.join(ids, own == F.col("_mixed"), "left_anti").join(mark(single.select("_gone")), own == F.col("_gone"), "left_anti")
+    at = df.columns.index("text")
+
+    def run(batch: pa.RecordBatch):
+        for start in range(0, len(batch), 500):
+            part = batch.slice(start, 500)
+            keys = _digest([shingle_set(t, words) for t in part.column(at).cast(pa.string()).to_pylist()])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())], [*part.schema.names, "_key"])
+
+    keyed = arrow_map(df.join(ids, own == F.col("_mixed"), "left_semi"), run, plus(df, _key=T.BinaryType()))
+    return rest.unionByName(keyed.join(mark(several), (own == F.col("_gone")) & (F.col("_key") == F.col("_set")), "left_anti").drop("_key"))

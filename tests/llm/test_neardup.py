@@ -85,3 +85,41 @@ def test_odd_rows(spark):
     got = sorted(neardup.groups(spark.createDataFrame(rows, "doc_id long, text string, Node int")).collect(), key=str)
     assert [(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got] == sorted([(3, 26, 3, True), (3, 26, 3, True), (5, 26, 3, False), (9, 0, 9, True), (None, 0, None, True), (None, 26, None, True)], key=lambda r: f"Row(doc_id={r[0]}, n_shingles={r[1]}")
     assert neardup.groups(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def brute_rows(rows, words):
+    """Component of every row where sets, not doc_ids, are linked."""
+    sets = sorted({shingles(t, words) for i, t in rows if i is not None and shingles(t, words)}, key=lambda s: sorted(map(str, s)))
+    group = list(range(len(sets)))
+    for x in range(len(sets)):
+        for y in range(x):
+            if 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                old, new = group[x], group[y]
+                group = [new if g == old else g for g in group]
+    of = dict(zip(sets, group))
+    low = {}
+    for i, t in rows:
+        if i is not None and shingles(t, words):
+            g = of[shingles(t, words)]
+            low[g] = min(low.get(g, i), i)
+    return [(i, low[of[shingles(t, words)]] if i is not None and shingles(t, words) else i) for i, t in rows]
+
+
+def test_texts_that_share_a_doc_id(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "SHORT_LIST", 6)
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 7, 7, 7, rng.randint(0, 60)]), t) for _, t in families(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), str(r.component_id)) for r in neardup.groups(df).collect())
+    assert got == sorted((str(a), str(b)) for a, b in brute_rows(rows, 5))
+
+
+def test_no_text_is_lost_with_its_doc_id(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(3, a, "x"), (5, a, "y"), (5, b, "z"), (6, b, "z"), (8, a + " end", "z"), (8, None, "n"), (None, a, "n"), (9, b, "z"), (9, b, "z")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, _KEY2 string")
+    kept = neardup.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, a, "x"), (5, b, "z"), (8, None, "n"), (None, a, "n")], key=str)
+    twins = spark.createDataFrame([(4, a), (4, a + " end"), (4, a)], "doc_id long, text string")
+    assert {r.text for r in neardup.keep_one(twins).collect()} in ({a}, {a + " end"})
