@@ -108,6 +108,20 @@ def match_by_join(df: DataFrame, key: str, tokens: str, lookup: DataFrame) -> Da
     return hits.groupBy(key).agg(F.min_by("canonical", "priority").alias("canonical"))
 
 
+def lemmatize_by_join(df: DataFrame, key: str, tokens: str, lemmas: DataFrame) -> DataFrame:
+    """``df`` with each token replaced by its lemma in the table (form, canonical), for tables too long for an expression.
+
+    ``key`` tells rows apart.  A token is looked up once for all rows that hold it, so a frequent word moves one row for each
+    part of the table, not one for each place; only words that have a lemma are carried back to their rows.
+    """
+    words_of = df.select(key, F.explode(F.array_distinct(tokens)).alias("form"))
+    known = words_of.select("form").distinct().join(lemmas.select("form", "canonical").where("form != canonical"), "form")
+    changed = words_of.join(known, "form").groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("form", "canonical"))).alias("_lemmas"))  # as long as the row
+    found = df.join(changed, key, "left")
+    new = F.transform(tokens, lambda t: F.coalesce(F.try_element_at("_lemmas", t), t))
+    return found.withColumn(tokens, F.coalesce(new, F.col(tokens))).drop("_lemmas")
+
+
 def coverage(df: DataFrame, columns: Sequence[str] = ATTRIBUTES) -> DataFrame:
     """Percent of rows with a value, per attribute."""
     row = df.agg(*[F.try_divide(100.0 * F.count(c), F.count(F.lit(1))).alias(c) for c in columns])

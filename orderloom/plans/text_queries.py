@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from orderloom.functions import text as ops
-from orderloom.functions.dictionaries import AttributeDictionary, form_lookup, lookup_table
+from orderloom.functions.dictionaries import AttributeDictionary, form_lookup, lookup_table, read_lookup
 from orderloom.operators import categorise, features, tfidf as tfidf_ops
 from orderloom.plans.inputs import ITEMS_SQL, item_names, rounded
 from orderloom.plans.registry import query
-from orderloom.sources.tables import read_table
+from orderloom.session import shared_folder
+from orderloom.sources.tables import read_table, save_parquet
 
 # Dictionaries for the words of the generated part names; two of the eight
 # nouns stay unknown so that some rows carry no label.
@@ -87,6 +90,34 @@ def dictionary_join(spark, d):
     return ops.match_by_join(tokens, "p_partkey", "tokens", lookup_table(spark, DICTIONARY.product_types))
 
 
+def _written(spark, table, name):
+    """A table saved in the folder all executors share and read back."""
+    return spark.read.parquet(save_parquet(table, f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"))
+
+
+@query(
+    "dictionary_table",
+    "WITH " + ATTRIBUTES_SQL + "SELECT p_partkey, product_type AS canonical FROM attr WHERE product_type IS NOT NULL",
+)
+def dictionary_table(spark, d):
+    """The dictionary comes from a written table, not from the plan."""
+    lookup = read_lookup(_written(spark, lookup_table(spark, DICTIONARY.product_types), "product-types"))
+    return ops.match_by_join(item_names(spark, d).withColumn("tokens", ops.words(F.upper("name"))), "p_partkey", "tokens", lookup)
+
+
+@query(
+    "lemmas_from_table",
+    """WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z]+'), w -> w <> '') AS k FROM documents WHERE text IS NOT NULL)
+    SELECT doc_id, array_to_string(list_transform(k, w -> CASE WHEN length(w) > 3 AND w LIKE '%s' THEN w[:-2] ELSE w END), ' ') AS lemmas FROM t""",
+)
+def lemmas_from_table(spark, d):
+    """The lemma table is made from the corpus itself (words of more than three letters lose a last s), written, and joined."""
+    docs = read_table(spark, d, "documents").where("text is not null").select("doc_id", F.filter(F.split(F.lower("text"), "[^a-z]+"), lambda w: w != "").alias("words"))
+    forms = docs.select(F.explode("words").alias("form")).distinct().where("length(form) > 3 and form like '%s'")
+    lemmas = _written(spark, forms.select("form", F.expr("substr(form, 1, length(form) - 1)").alias("canonical")), "lemmas")
+    return ops.lemmatize_by_join(docs, "doc_id", "words", lemmas).select("doc_id", F.concat_ws(" ", "words").alias("lemmas"))
+
+
 @query(
     "coverage",
     "WITH " + ATTRIBUTES_SQL + " UNION ALL ".join(

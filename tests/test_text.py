@@ -135,3 +135,33 @@ def test_dictionary_join_equals_expression(spark):
     by_join = {r.id: r.canonical for r in ops.match_by_join(words, "id", "w", lookup_table(spark, lookup)).collect()}
     by_expression = {r.id: r.c for r in words.select("id", ops.match_tokens(F.col("w"), lookup).alias("c")).collect() if r.c}
     assert by_join == by_expression == {1: "czarny", 3: "czerwony"}
+
+
+def test_lookup_from_a_table(spark):
+    from orderloom.functions.dictionaries import read_lookup
+
+    rows = [("red", "r", 3), ("Red", "rr", 5), ("BLUE", "b", 1), (None, "n", 0)]
+    got = sorted(map(tuple, read_lookup(spark.createDataFrame(rows, "form string, canonical string, priority int")).collect()))
+    assert got == [("BLUE", "b", 1), ("RED", "rr", 3)]
+
+
+def test_lemmas_by_join_keep_places(spark):
+    df = spark.createDataFrame([(1, ["cats", "and", "cats", "dogs"]), (2, []), (3, None), (4, ["and"])], "id int, tokens array<string>")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("dogs", "dog"), ("mice", "mouse")], "form string, canonical string")
+    got = {r.id: r.tokens for r in ops.lemmatize_by_join(df, "id", "tokens", lemmas).collect()}
+    assert got == {1: ["cat", "and", "cat", "dog"], 2: [], 3: None, 4: ["and"]}
+
+
+def test_one_class_with_most_rows_stays_spread(spark):
+    """Nine tenths of the rows in one class: no task of the result holds more than a tenth of them."""
+    from orderloom.operators.categorise import mark_labeled
+    from orderloom.operators.features import reduce_cardinality
+
+    kind = F.when(F.col("id") % 10 < 9, F.lit("most")).when(F.col("id") % 100 == 9, F.lit(None)).otherwise(F.concat(F.lit("k"), (F.col("id") / 40).cast("int")))
+    df = spark.range(0, 40_000, 1, 16).withColumn("kind", kind)
+    for made in (mark_labeled(df, "kind", 4), reduce_cardinality(df, "kind", 4)):
+        parts = made.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(p["count"] for p in parts) == 40_000 and max(p["count"] for p in parts) < 4_000
+    sizes = {r["kind"]: r["count"] for r in df.groupBy("kind").count().collect()}
+    marked = {(r["kind"], r.is_labeled) for r in mark_labeled(df, "kind", 4).select("kind", "is_labeled").distinct().collect()}
+    assert marked == {(k, k is not None and n >= 4) for k, n in sizes.items()}
