@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from orderloom.functions import casts
 from orderloom.operators import orders as ops
 from orderloom.plans.inputs import ORDERS_SQL, orders_grain, rounded
 from orderloom.plans.registry import query
+from orderloom.session import shared_folder
 from orderloom.sources import xml
-from orderloom.sources.tables import read_table
+from orderloom.sources.tables import read_csv, read_table, save_csv
 
 _ORDER_TIME = "dd.MM.yyyy HH:mm:ss"
 
 
-def _documents(spark, d):
-    """One XML document per order with all its lines; orders without lines give an empty ``rows``."""
+def _nested(spark, d):
+    """Orders with all their lines as text leaves; orders without lines give an empty ``rows``."""
     orders = read_table(spark, d, "orders")
     lines = read_table(spark, d, "lineitem")
     row = F.struct(
@@ -27,7 +30,7 @@ def _documents(spark, d):
     # The lines of one order, which one document holds.
     listed = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(row).alias("_lines"))
     joined = orders.join(listed, "o_orderkey", "left")
-    nested = joined.select(
+    return joined.select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.date_format("o_orderdate", _ORDER_TIME).alias("date_add"),
         F.col("o_orderstatus").alias("payment_name"),
@@ -36,7 +39,11 @@ def _documents(spark, d):
         F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("order_amount_brutto"),
         F.struct(F.col("_lines").alias("row")).alias("rows"),
     )
-    return xml.orders_to_column(nested)
+
+
+def _documents(spark, d):
+    """One XML document per order."""
+    return xml.orders_to_column(_nested(spark, d))
 
 
 _XML_ORDER = ["order_id", "date_add", "payment_name", "payment_status", "delivery_type", "order_amount_brutto"]
@@ -67,6 +74,33 @@ def order_xml_roundtrip(spark, d):
     return rounded(out)
 
 
+_SUMS_SQL = """
+    SELECT CAST(o.o_orderkey AS VARCHAR) AS order_id, CAST(o.o_orderdate AS VARCHAR) AS date_add, o.o_totalprice AS order_amount_brutto,
+           COUNT(l.l_orderkey) AS n_items, CAST(COALESCE(SUM(l.l_quantity), 0) AS BIGINT) AS total_quantity
+    FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey GROUP BY ALL
+    """
+
+
+def _out(spark, name):
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("xml_files_etl", _SUMS_SQL)
+def xml_files_etl(spark, d):
+    """All orders written as XML files, then the folder scanned, typed and saved by the ETL run."""
+    folder = _out(spark, "order-files")
+    _nested(spark, d).write.format("xml").option("rootTag", "orders").option("rowTag", "order").save(folder)
+    saved = ops.run_etl(spark, folder, _out(spark, "order-table"))
+    return rounded(saved.select("order_id", "date_add", "order_amount_brutto", F.col("n_items").cast("long").alias("n_items"), "total_quantity"))
+
+
+@query("csv_reload", "SELECT o_orderkey, o_orderstatus, round(o_totalprice::DOUBLE, 6) AS o_totalprice, o_orderpriority FROM orders")
+def csv_reload(spark, d):
+    """Saved as CSV and read back with a schema."""
+    kept = read_table(spark, d, "orders").select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"), "o_orderpriority")
+    return rounded(read_csv(spark, save_csv(kept, _out(spark, "orders-csv")), kept.schema))
+
+
 @query(
     "slim_orders",
     """

@@ -107,8 +107,8 @@ def dictionary_table(spark, d):
 
 @query(
     "lemmas_from_table",
-    """WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z]+'), w -> w <> '') AS k FROM documents WHERE text IS NOT NULL)
-    SELECT doc_id, array_to_string(list_transform(k, w -> CASE WHEN length(w) > 3 AND w LIKE '%s' THEN w[:-2] ELSE w END), ' ') AS lemmas FROM t""",
+    """WITH t AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda w: w <> '') AS k FROM documents WHERE text IS NOT NULL)
+    SELECT doc_id, array_to_string(list_transform(k, lambda w: CASE WHEN length(w) > 3 AND w LIKE '%s' THEN w[:-2] ELSE w END), ' ') AS lemmas FROM t""",
 )
 def lemmas_from_table(spark, d):
     """The lemma table is made from the corpus itself (words of more than three letters lose a last s), written, and joined."""
