@@ -27,7 +27,7 @@ from orderloom.llm.common import arrow_map, plus, slices, without
 
 LETTER, NUMBER, OTHER, BLANK, SPACE, END = range(6)
 #: Code points one scan takes at once, unless a single text is longer.
-CHUNK = 1_000_000
+CHUNK = 250_000
 BLOCK = 256
 CACHE_ENTRIES, CACHE_CHARS = 300_000, 48
 SHORT = 64

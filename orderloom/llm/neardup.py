@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from orderloom.functions.ranks import running_total
 from orderloom.llm.common import Workspace, arrow_map, plus
 from orderloom.operators.components import connected_components
+from orderloom.session import gathered
 
 K = 48
 #: Lists up to this length give their pairs of different components.
@@ -159,11 +160,11 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _check(pairs: DataFrame, nodes: DataFrame, corpus: Corpus, k: int, percent: int, space: Workspace, name: str) -> DataFrame:
     likely = space.keep(_promising(pairs, nodes, k), f"{name}_likely")
     ids = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return space.keep(_confirmed(likely, corpus.sets(ids), percent).distinct(), f"{name}_links")
+    return space.keep(gathered(_confirmed(likely, corpus.sets(ids), percent).distinct(), likely.count()), f"{name}_links")
 
 
 def _components(links: DataFrame, space: Workspace, name: str) -> DataFrame:
-    return space.keep(connected_components(links), name)
+    return space.keep(gathered(connected_components(links), 2 * links.count()), name)
 
 
 def _rare_prefix_pairs(nodes: DataFrame, corpus: Corpus, labels: DataFrame, percent: int) -> DataFrame:

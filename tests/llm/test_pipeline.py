@@ -59,3 +59,39 @@ def test_empty_and_odd_tables(spark, folder):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, folder).collect() == [], name
         assert stage(spark, odd, folder).count() >= 0, name
+
+
+def test_a_batch_is_bounded_by_its_bytes(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from orderloom.llm import common
+
+    rows = spark.range(0, 9000, 1, 1).select("id", F.repeat(F.lit("ab c"), 500).alias("text"))
+    sizes = lambda b: pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+    got = common.arrow_map(rows, sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 9000 and max(r.bytes for r in got) < 1.1 * common.BATCH_BYTES
+    long = spark.range(0, 3, 1, 1).select(F.repeat(F.lit("ab c"), common.BATCH_BYTES // 2).alias("text"))
+    assert [(r.n, r.bytes > common.BATCH_BYTES) for r in common.arrow_map(long, sizes, "n long, bytes long").collect()] == [(1, True)] * 3
+
+
+def test_small_tables_of_components_are_few_files(spark):
+    import glob
+
+    from orderloom.operators.components import connected_components
+    from orderloom.session import shared_folder
+
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        shared_folder(spark)
+        parts = f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/rdd-*/part-*"
+        before = len(glob.glob(parts))
+        chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+        got = {tuple(r) for r in connected_components(chain).collect()}
+        assert got == {(i, 0) for i in range(61)}
+        assert 0 < len(glob.glob(parts)) - before < 2 * 40  # the edges, and a file a round
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
