@@ -4,10 +4,11 @@ The plain patterns (email, ip, card, phone) are matched leftmost and whole; what
 high recall then propose more spans, which may overlap: written-out mail addresses, numbers grouped like local telephone
 numbers or national ids, account numbers, and groups of hex digits.  Gradient-boosted trees (MLlib) score a candidate
 from its format and from the text before and after it.  They are taught by values of known kind, and look-alikes, set
-into places of at most FIT_DOCS texts of the table, the rows with the lowest hashes; what those texts hold by
-themselves counts as doubtful and has a low weight.  On places that the trees have not seen, scores are pooled into a
-monotone precision by kind, and the lowest score that reaches PRECISION is the kind's threshold.  The fitted trees
-become CASE expressions, so that texts are scored where they lie.  All is SQL functions and MLlib.
+into places of every text of the table, which together cover it; what the texts hold by themselves counts as doubtful and
+has a low weight.  Equal examples are counted, and the splits of the trees are chosen among all values that occur.  On
+places that the trees have not seen, scores are pooled into a monotone precision by kind, and the lowest score that
+reaches PRECISION is the kind's threshold.  The fitted trees become CASE expressions, so that texts are scored where they
+lie.  All is SQL functions and MLlib.
 
 Places are code points, end exclusive.  A chosen candidate that overlaps a plain match is left out, as is one that
 overlaps a candidate of a higher score.  Null and empty texts have no spans; texts are read whole; equal rows give equal
@@ -17,6 +18,7 @@ like a result are replaced.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -47,8 +49,7 @@ GENERATORS = (
 )
 
 BEFORE, AFTER = 40, 12  # characters of context
-FIT_DOCS = 2000  # texts that lend places
-PLACES = 8  # examples from each
+PLACES = 8  # examples from each text, more from one that so many do not cover
 WINDOW = 120  # characters on either side of an example
 TREES, DEPTH = 15, 4
 PRECISION = 0.9
@@ -212,14 +213,14 @@ def _across(a: Column, b: Column) -> Column:
 
 
 def _examples(documents: DataFrame, text: str) -> DataFrame:
-    """(planted, truth, from, until): places of at most FIT_DOCS texts with a value of known kind set into each."""
+    """(planted, truth, from, until, fold): the places of every text, with a value of known kind set into each."""
     texts = documents.select(whole_text(text).alias("t")).where("t != ''").withColumn("h", F.xxhash64(F.lit(13), "t"))
-    n = texts.count()
-    if n > FIT_DOCS:  # by hash; a bound on what the trees are taught with, not on what is searched
-        texts = texts.where(F.pmod("h", F.lit(1_000_000_000)) < int(1e9 * FIT_DOCS / n))
     texts = texts.dropDuplicates(["h"])  # copies lend no places of their own
-    rows = texts.select("t", F.explode(F.sequence(F.lit(1), F.lit(PLACES))).alias("k"))
-    rows = rows.select("t", *[F.xxhash64(F.lit(i), "k", "t").alias(f"h{i}") for i in range(6)])
+    size, n = 2 * WINDOW, F.length("t")
+    spread = F.transform(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda k: F.substring("t", F.floor(k * F.greatest(n - size, F.lit(0)) / (PLACES - 1)).cast("int") + 1, F.lit(size)))
+    tiled = F.regexp_extract_all("t", F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    rows = texts.select("h", F.posexplode(F.when(n > PLACES * size, tiled).otherwise(spread)).alias("k", "place"))
+    rows = rows.select("place", *[F.xxhash64(F.lit(i), "k", "h").alias(f"h{i}") for i in range(6)])
     pick = lambda h, n: F.pmod(F.col(h), F.lit(n)).cast("int")
     lines = F.array(*[F.struct(F.lit(-1 if k is None else k).alias("truth"), F.array(*map(F.lit, cues)).alias("cues"), F.lit(share).alias("share"), F.array(*map(F.lit, forms)).alias("forms")) for k, cues, share, forms in EXAMPLES])
     rows = rows.withColumn("line", F.get(lines, pick("h0", len(EXAMPLES))))
@@ -227,7 +228,6 @@ def _examples(documents: DataFrame, text: str) -> DataFrame:
         "*", F.get("line.forms", F.pmod("h1", F.size("line.forms").cast("long")).cast("int")).alias("form"),
         F.when(pick("h2", 10) < F.col("line.share"), F.concat(F.get("line.cues", F.pmod(F.shiftright("h2", 8), F.size("line.cues").cast("long")).cast("int")), F.lit(" "))).otherwise(F.lit("")).alias("cue"),
         F.concat(*[F.lpad(F.pmod(F.col(h), F.lit(10**15)).cast("string"), 15, "0") for h in ("h3", "h4", "h5")]).alias("d"), F.sha2(F.concat("h3", F.lit(" "), "h4"), 256).alias("x"),
-        F.pmod("h5", F.greatest(F.length("t") - 2 * WINDOW, F.lit(1)).cast("long")).cast("int").alias("at"),
     )
     letter = F.translate(F.substring("d", 1, 45), "0123456789", "bdeiklnors")
     fill = lambda c, i: F.when(c == "#", F.substring("d", i + 1, F.lit(1))).when(c == "*", F.substring(letter, i + 1, 3 + F.pmod(F.shiftright("h4", 8) + i, F.lit(8)).cast("int"))).when(c == "^", F.substring("x", i + 1, F.lit(1))).otherwise(c)
@@ -235,7 +235,7 @@ def _examples(documents: DataFrame, text: str) -> DataFrame:
     body = F.regexp_replace(F.substring("value", 5, 40), r"\x20", "")
     check = F.lpad((98 - F.pmod(F.concat(body, F.lit("131400")).try_cast("decimal(38,0)"), F.lit(97))).cast("int").cast("string"), 2, "0")
     rows = rows.withColumn("value", F.when(F.col("value").contains("%%"), F.concat(F.lit("DE"), check, F.substring("value", 5, 40))).otherwise(F.col("value")))
-    left, right = F.substring("t", F.col("at") + 1, F.lit(WINDOW)), F.substring("t", F.col("at") + WINDOW + 1, F.lit(WINDOW))
+    left, right = F.substring("place", 1, WINDOW), F.substring("place", WINDOW + 1, WINDOW)
     start = F.length(left) + 1 + F.length("cue")
     return rows.select(F.concat(left, F.lit(" "), "cue", "value", F.lit(" "), right).alias("planted"), F.col("line.truth").alias("truth"), start.alias("from"), (start + F.length("value")).alias("until"), F.pmod("h4", F.lit(10)).alias("fold"))
 
@@ -288,6 +288,11 @@ def _edge(at: int) -> float:
     return at / BINS * 4.0 - 2.0
 
 
+def _bins_for(rows: int) -> int:
+    """The least ``maxBins`` with which MLlib looks for splits in all rows: from more than its square it draws a sample."""
+    return max(32, math.isqrt(max(0, rows - 1)) + 1)
+
+
 def fit(documents: DataFrame, text: str = "text") -> Model | None:
     """None where there is no text to teach with."""
     space = Workspace(documents.sparkSession, "personal")
@@ -297,10 +302,11 @@ def fit(documents: DataFrame, text: str = "text") -> Model | None:
     own = (F.col("c.start") < F.col("until")) & (F.col("from") < F.col("c.end"))
     right = (F.col("truth") == F.col("c.kind")) & (F.col("c.start") == F.col("from")) & (F.col("c.end") == F.col("until"))
     rows = found.select("fold", F.col("c.kind").alias("kind"), _features(F.col("c")).alias("f"), F.when(right, 1.0).otherwise(0.0).alias("label"), F.when(own, 1.0).otherwise(0.25).alias("weight"))
-    rows = space.keep(rows.groupBy("fold", "kind", "f", "label").agg(F.sum("weight").alias("weight")).coalesce(4), "examples")
-    if rows.where("fold < 7").agg(F.count_distinct("label")).first()[0] < 2:
+    rows = space.keep(rows.groupBy("fold", "kind", "f", "label").agg(F.sum("weight").alias("weight")), "examples")
+    n, labels = rows.where("fold < 7").agg(F.count(F.lit(1)), F.count_distinct("label")).first()
+    if labels < 2:
         return None
-    boosted = GBTClassifier(featuresCol="v", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7)
+    boosted = GBTClassifier(featuresCol="v", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, maxBins=_bins_for(n), stepSize=0.3, seed=7)
     model = Model(_trees(boosted.fit(rows.where("fold < 7").select(array_to_vector("f").alias("v"), "label", "weight"))), ())
     seen = rows.where("fold >= 7").select("kind", _bin(model.margin(F.col("f"))).alias("bin"), "label", "weight")
     counts = seen.groupBy("kind", "bin").agg(F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("label")).alias("good")).orderBy("kind", "bin").collect()  # at most BINS + 1 for each kind

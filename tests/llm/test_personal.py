@@ -1,3 +1,4 @@
+import collections
 import hashlib
 import random
 import re
@@ -141,3 +142,27 @@ def test_nothing_to_teach_with(spark, capsys):
     node = (0, 0.5, -1.0, 1.0)
     personal.scan(empty, personal.Model(((1.0, node),), (0.5,) * 5)).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+def test_every_text_is_covered_by_its_places(spark):
+    rng = random.Random(5)
+    length = [3, 119, 240, 241, 900, 1920, 2000, 5000] + [rng.randint(20, 60) for _ in range(2500)]
+    texts = ["".join(rng.choice("ab é\n🙂") for _ in range(n)) for n in length]
+    texts = list(dict.fromkeys(texts))
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:50])], "doc_id long, text string")
+    places = [max(personal.PLACES, -(-len(t) // (2 * personal.WINDOW))) for t in texts]
+    rows = personal._examples(df, "text").collect()
+    assert len(rows) == sum(places)  # of 2,508 texts, copies apart
+    hosts = collections.Counter()
+    marks = {t[-15:]: i for i, t in enumerate(texts[:8])}
+    for r in rows:
+        assert 0 < r["from"] < r.until < len(r.planted) and r.planted[r.until] == " "
+        for tail, i in marks.items():
+            hosts[i] += r.planted.endswith(tail) or tail in r.planted[: r["from"]]
+    assert all(hosts[i] for i in range(1, 8))  # the end of each text is in a place of it
+
+
+def test_splits_are_sought_in_all_rows():
+    for rows in (0, 1, 1024, 1025, 10_000, 10_001, 999_999, 1_000_000, 1_000_001):
+        assert personal._bins_for(rows) ** 2 >= rows and personal._bins_for(rows) >= 32
+    assert personal._bins_for(1_000_000) == 1000 and personal._bins_for(1_000_001) == 1001
