@@ -95,8 +95,8 @@ class Corpus:
     numbers: DataFrame  # set_key, doc (its lowest doc_id), node (rising with doc)
     mixed: DataFrame | None  # doc_id; None if every doc_id holds one set
 
-    def sets(self, nodes: DataFrame) -> DataFrame:
-        """(node, n, shingles) of the sets ``nodes``, made again from the texts."""
+    def sets(self, nodes: DataFrame, most: int | None = None) -> DataFrame:
+        """(node, n, shingles) of the sets ``nodes``, made again from the texts; ``most`` is a known bound of their number."""
         texts = self.df.select(F.col("doc_id").cast("long").alias("doc"), F.col("text").cast("string").alias("text"))
         words = self.words
 
@@ -106,7 +106,7 @@ class Corpus:
                 made = [shingle_set(t, words) for t in batch.column(1).slice(start, 500).to_pylist()]
                 yield pa.RecordBatch.from_arrays([at.slice(start, 500), pa.array(_digest(made), pa.binary()), pa.array([len(s) for s in made], pa.int64()), _lists(made)], ["node", "set_key", "n", "shingles"])
 
-        few = nodes.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+        few = most is not None and most <= BROADCAST_IDS or nodes.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
         mark = F.broadcast if few else (lambda x: x)
         schema = "node long, set_key binary, n long, shingles array<long>"
         if self.mixed is None:
@@ -159,15 +159,32 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _check(pairs: DataFrame, nodes: DataFrame, corpus: Corpus, k: int, percent: int, space: Workspace, name: str) -> DataFrame:
     likely = space.keep(_promising(pairs, nodes, k), f"{name}_likely")
+    rows = likely.count()
     ids = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    return space.keep(gathered(_confirmed(likely, corpus.sets(ids), percent).distinct(), likely.count()), f"{name}_links")
+    return space.keep(gathered(_confirmed(likely, corpus.sets(ids, 2 * rows), percent).distinct(), rows), f"{name}_links")
 
 
 def _components(links: DataFrame, space: Workspace, name: str) -> DataFrame:
-    return space.keep(gathered(connected_components(links), 2 * links.count()), name)
+    rows = links.count()
+    return space.keep(gathered(connected_components(links, rows=rows), 2 * rows), name)
 
 
-def _rare_prefix_pairs(nodes: DataFrame, corpus: Corpus, labels: DataFrame, percent: int) -> DataFrame:
+def _joined(labels: DataFrame, more: DataFrame, space: Workspace) -> DataFrame:
+    """(node, component) of the graph that has the components ``labels`` once the links ``more`` are added.
+
+    Only the links between components are followed: each stands for its lowest node, as does a node without a label.
+    """
+    if more.isEmpty():
+        return labels
+    end = lambda x: labels.select(F.col("node").alias(x), F.col("component").alias(f"c{x}"))
+    between = more.join(end("a"), "a", "left").join(end("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
+    merged = _components(space.keep(gathered(between.distinct(), more.count()), "between"), space, "merged")
+    moved = labels.join(merged.select(F.col("node").alias("component"), F.col("component").alias("low")), "component", "left")
+    moved = moved.select("node", F.coalesce("low", "component").alias("component"))
+    return moved.unionByName(merged.join(labels, "node", "left_anti"))
+
+
+def _rare_prefix_pairs(nodes: DataFrame, corpus: Corpus, labels: DataFrame, percent: int, space: Workspace) -> DataFrame:
     """Pairs (a, b) of ``nodes`` from different components that share one of their rarest shingles.
 
     With shingles ordered by how many of the nodes have them, sets alike at ``percent`` meet in the first
@@ -182,9 +199,10 @@ def _rare_prefix_pairs(nodes: DataFrame, corpus: Corpus, labels: DataFrame, perc
     room = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - before).cast("int")
     prefix = shared.where(room > 0).select("node", "n", before.alias("before"), F.posexplode(F.slice("all", F.lit(1), room)).alias("i", "x"))
     prefix = prefix.select("node", F.col("x.s").alias("s"), "n", (F.col("n") - F.col("before") - F.col("i")).alias("rest"))
-    prefix = prefix.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    prefix = space.keep(prefix.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "prefix")
     mixed = prefix.groupBy("s").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("s")
-    rows = prefix.join(mixed, "s", "left_semi")
+    rows = space.keep(prefix.join(mixed, "s", "left_semi"), "rare")
+    space.drop("prefix")
     x, y = (rows.select("s", F.col("node").alias(i), F.col("component").alias(f"c{i}"), F.col("n").alias(f"n{i}"), F.col("rest").alias(f"rest{i}")) for i in ("a", "b"))
     enough = (100 + percent) * F.least("resta", "restb") >= percent * (F.col("na") + F.col("nb"))
     return x.join(y, "s").where((F.col("ca") < F.col("cb")) & enough).select("a", "b").distinct()
@@ -211,9 +229,10 @@ def _grouped(df: DataFrame, words: int, percent: int, k: int, space: Workspace)
     short = left.where(f"size <= {SHORT_LIST}").groupBy("run").agg(F.sort_array(F.collect_list(F.struct("node", "component"))).alias("m"))
     pairs = short.select(F.explode(F.flatten(F.transform("m", lambda x: F.transform(F.filter("m", lambda y: (y["node"] > x["node"]) & (y["component"] != x["component"])), lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))).alias("p")).select("p.*")
     long_nodes = space.keep(left.where(f"size > {SHORT_LIST}").select("node").distinct(), "long_nodes")
-    pairs = pairs.unionByName(_rare_prefix_pairs(long_nodes, corpus, labels, percent).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    pairs = pairs.unionByName(_rare_prefix_pairs(long_nodes, corpus, labels, percent, space).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
     more = _check(pairs.distinct(), nodes, corpus, k, percent, space, "cross")
-    labels = _components(links.unionByName(more), space, "components")
+    space.drop("rare")
+    labels = _joined(labels, more, space)
 
     if mixed is None:
         labels = labels.withColumn("component_id", F.col("component"))

@@ -123,3 +123,20 @@ def test_no_text_is_lost_with_its_doc_id(spark):
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, a, "x"), (5, b, "z"), (8, None, "n"), (None, a, "n")], key=str)
     twins = spark.createDataFrame([(4, a), (4, a + " end"), (4, a)], "doc_id long, text string")
     assert {r.text for r in neardup.keep_one(twins).collect()} in ({a}, {a + " end"})
+
+
+def test_links_added_to_known_components(spark):
+    from orderloom.llm.common import Workspace
+    from orderloom.operators.components import connected_components
+
+    rng = random.Random(6)
+    first = [(rng.randint(0, 200), rng.randint(0, 200)) for _ in range(90)]
+    more = [(rng.randint(0, 260), rng.randint(0, 260)) for _ in range(40)]
+    frame = lambda pairs: spark.createDataFrame([(min(p), max(p)) for p in pairs if p[0] != p[1]], "a long, b long")
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    space = Workspace(spark, "test")
+    labels = space.keep(connected_components(frame(first)), "labels")
+    whole = rows(connected_components(frame(first + more)))
+    assert rows(neardup._joined(labels, frame(more), space)) == whole and len(whole) > len(rows(labels))
+    assert rows(neardup._joined(labels, frame([(0, 0)]), space)) == rows(labels)
+    assert rows(neardup._joined(labels.limit(0), frame(more), Workspace(spark, "test"))) == rows(connected_components(frame(more)))

@@ -95,3 +95,27 @@ def test_small_tables_of_components_are_few_files(spark):
     finally:
         for k, v in held.items():
             spark.conf.set(k, v)
+
+
+def test_components_end_with_the_round_that_makes_stars(spark):
+    import glob
+
+    from orderloom.operators.components import connected_components
+    from orderloom.session import shared_folder
+
+    shared_folder(spark)
+    folders = f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/rdd-*"
+
+    def rounds(pairs, by=()):
+        schema = ", ".join(f"{c} long" for c in (*by, "a", "b"))
+        before = set(glob.glob(folders))
+        got = {tuple(r) for r in connected_components(spark.createDataFrame(pairs, schema), by=list(by)).collect()}
+        return got, len(set(glob.glob(folders)) - before) - 1  # one holds the edges
+
+    stars = [(0, i) for i in range(1, 30)] + [(100, i) for i in range(101, 110)] + [(50, 50)]
+    assert rounds(stars) == ({(b, a) for a, b in stars} | {(0, 0), (100, 100)}, 0)  # two rounds before
+    assert rounds([]) == (set(), 0)
+    got, made = rounds([(i, i + 1) for i in range(40)] + [(5, 39)])
+    assert got == {(i, 0) for i in range(41)} and made > 0
+    # The same node below different nodes of two keys is no fault of either.
+    assert rounds([(1, 0, 5), (2, 3, 5), (2, 3, 0)], ["at"]) == ({(1, 0, 0), (1, 5, 0), (2, 0, 0), (2, 3, 0), (2, 5, 0)}, 1)
