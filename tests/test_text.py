@@ -109,6 +109,20 @@ def test_classifier_predicts_and_reloads(spark, tmp_path):
     assert evaluation.macro_scores(report).first().accuracy == 1.0
 
 
+def test_equal_counts_are_ordered_by_term(spark):
+    rows = [[f"t{i:02d}" for i in range(40)], [f"t{i:02d}" for i in range(39, -1, -1)], ["z", "z", "z", "t05"], ["z", "once", "once", "once", "once"]]
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame([(r,) for r in rows], "terms array<string>").repartition(parts)
+        counter = categorise.fit_text_features(df, max_features=5)[0]
+        assert counter.vocabulary == ["z", "t05", "t00", "t01", "t02"]
+    try:
+        categorise.fit_text_features(df.where("size(terms) = 5"))
+    except ValueError as error:
+        assert "2 texts" in str(error)
+    else:
+        raise AssertionError("no error")
+
+
 def test_unknown_model_type():
     try:
         categorise.build_classifier("perceptron")
