@@ -179,3 +179,18 @@ def test_one_class_with_most_rows_stays_spread(spark):
     sizes = {r["kind"]: r["count"] for r in df.groupBy("kind").count().collect()}
     marked = {(r["kind"], r.is_labeled) for r in mark_labeled(df, "kind", 4).select("kind", "is_labeled").distinct().collect()}
     assert marked == {(k, k is not None and n >= 4) for k, n in sizes.items()}
+
+
+def test_tfidf_counts_no_ngram_that_cannot_matter(spark):
+    """Rare words, and n-grams with one, are not counted by text where the vocabulary is full of more frequent words."""
+    from orderloom.operators import tfidf
+
+    rows = [(i // 2, " ".join(["aa", "bb", "cc", f"only{i}", "aa", f"two{i // 3}", "bb"][: 3 + i % 5])) for i in range(40)] + [(None, "aa cc dd"), (7, None), (99, "zz " * 50)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    words = tfidf.frequent_words(df, "id", "text", 3, (1, 2), 2)
+    assert set(words) == {"aa", "bb", "cc", "zz"}
+    assert {r.term for r in tfidf.frequent_counts(df, "id", "text", words, (1, 2)).collect()} == {"aa", "bb", "cc", "zz", "aa bb", "bb cc", "aa cc", "zz zz"}
+    want = tfidf.vocabulary(tfidf.term_counts(df, "id", "text"), F.lit(43), 3, 2)
+    got = {(r.id, r.term) for r in tfidf.tfidf(df, "id", "text", 3).collect()}
+    assert {t for _, t in got} == {r.term for r in want.collect()}
+    assert tfidf.frequent_words(df, "id", "text", 1000, (1, 2), 2) is None
